@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
+import re
 from functools import lru_cache
 from itertools import accumulate, chain
 
@@ -44,40 +46,85 @@ def tiktoken_vocabulary(path: str) -> Vocabulary:
         return Vocabulary({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
 
 
-class Encoder:
-    """Encodes chunks of texts; pre-tokens met before come from a cache of two generations, the older of which is dropped."""
+@lru_cache(2)
+def json_vocabulary(path: str) -> Vocabulary:
+    """The vocabulary of a byte-level BPE .json file, whose merges must be in the order of their ids."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+    ids = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if any(a >= b for a, b in zip(ids, ids[1:])):
+        raise ValueError(f"{path}: the order of the merges differs from the order of the ids")
+    return Vocabulary({bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if all(c in byte_of for c in token)})
+
+
+@lru_cache(2)
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a .json tokenizer, which the library cuts out of texts before it splits them."""
+    with open(path, encoding="utf-8") as file:
+        return {x["content"]: x["id"] for x in json.load(file)["added_tokens"]}
+
+
+@lru_cache(2)
+def special_pattern(path: str) -> re.Pattern | None:
+    added = added_tokens(path)
+    return re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.young, self.old = vocabulary, {}, {}
 
-    def pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[list[int]], list[int]]:
-        """The ids of each pre-token of a chunk, and where each text's pre-tokens begin and end."""
-        text, points, at = common.codepoints(data, offsets)
+def pieces_of(data: np.ndarray, offsets: np.ndarray, special: re.Pattern | None) -> tuple[list[str], np.ndarray]:
+    """The pre-tokens of a chunk, added tokens among them as one piece each, and where each text's begin and end."""
+    text, points, at = common.codepoints(data, offsets)
+    if special is None or not special.search(text):
         pieces, _, bounds = pretok.pretokens(text, points, at)
-        young, old, merge = self.young, self.old, self.vocabulary.merge
+        return pieces, bounds
+    spans = [(a + m.start(), a + m.end()) for a, b in zip(at.tolist(), at[1:].tolist()) for m in special.finditer(text[a:b])]
+    cuts = np.union1d(at, np.array(spans, np.int64).reshape(-1))
+    begin = pretok.starts(points, cuts)
+    inside = np.zeros(len(points) + 1, np.int8)
+    for a, b in spans:
+        inside[a + 1 : b] = 1
+    begin = begin[inside[begin] == 0]
+    edges = np.append(begin, len(points)).tolist()
+    return [text[a:b] for a, b in zip(edges, edges[1:])], np.searchsorted(begin, at)
+
+
+class Encoder:
+    """What is made of the ids of each pre-token of a chunk. Pre-tokens met before come from a cache of two generations."""
+
+    def __init__(self, vocabulary: Vocabulary, make=tuple, added: dict[str, int] | None = None, special: re.Pattern | None = None):
+        self.vocabulary, self.make, self.special = vocabulary, make, special
+        self.added = {text: make([i]) for text, i in (added or {}).items()}
+        self.young, self.old = dict(self.added), {}
+
+    def pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list, list[int]]:
+        """A value per pre-token, and where each text's pre-tokens begin and end."""
+        pieces, bounds = pieces_of(data, offsets, self.special)
+        young, old, merge, make = self.young, self.old, self.vocabulary.merge, self.make
         for piece in set(pieces).difference(young):
-            ids = old.get(piece)
-            young[piece] = merge(piece.encode()) if ids is None else ids
+            value = old.get(piece)
+            young[piece] = make(merge(piece.encode())) if value is None else value
         found = list(map(young.__getitem__, pieces))
         if len(young) > CACHE:
-            self.young, self.old = {}, young
+            self.young, self.old = dict(self.added), young
         return found, bounds.tolist()
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray):
-        """The ids of each text of a chunk."""
+    def texts(self, data: np.ndarray, offsets: np.ndarray):
+        """The values of each text of a chunk."""
         found, bounds = self.pieces(data, offsets)
         for a, b in zip(bounds, bounds[1:]):
-            yield list(chain.from_iterable(found[a:b]))
+            yield found[a:b]
 
 
-_encoders: dict[str, Encoder] = {}
+_kept: dict = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders.clear()
-        _encoders[path] = Encoder(tiktoken_vocabulary(path))
-    return _encoders[path]
+def kept(key, make):
+    """An encoder that stays in the worker between tasks; one at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,13 +132,13 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
     def run(batches):
-        enc = encoder(path)
+        enc = kept(("ids", path), lambda: Encoder(tiktoken_vocabulary(path)))
         bytes_of = enc.vocabulary.bytes_of
         for batch in batches:
             for i, data, offsets in common.text_chunks(batch.column(1)):
                 ids, places = [], []
-                for own in enc.encode(data, offsets):
-                    ids.append(own)
+                for found in enc.texts(data, offsets):
+                    ids.append(own := list(chain.from_iterable(found)))
                     places.append([0, *accumulate(len(bytes_of[k]) for k in own)][:-1])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(ids)), pa.array(ids, pa.list_(pa.int32())), pa.array(places, pa.list_(pa.int32()))], [id_col, "ids", "offsets"]
@@ -116,20 +163,29 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id")
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per row: number and digest of the ids, and the digest of what the ids decode to, in one pass over the texts."""
+    """Per row: number and digest of the ids, and the digest of what the ids decode to, in one pass over the texts.
+
+    Written and decoded ids are kept with the pre-token they come from, so each distinct pre-token is merged, written and
+    decoded once while it stays in the cache.
+    """
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
+    def make():
+        vocabulary = tiktoken_vocabulary(path)
+        bytes_of = vocabulary.bytes_of
+        return Encoder(vocabulary, lambda ids: (len(ids), ",".join(map(str, ids)), b"".join([bytes_of[i] for i in ids])))
+
     def run(batches):
-        enc = encoder(path)
-        bytes_of = enc.vocabulary.bytes_of
+        enc = kept(("round trip", path), make)
         sha = hashlib.sha256
         for batch in batches:
             for i, data, offsets in common.text_chunks(batch.column(1)):
                 counts, ids_sha, decoded_sha = [], [], []
-                for ids in enc.encode(data, offsets):
-                    counts.append(len(ids))
-                    ids_sha.append(sha(",".join(map(str, ids)).encode()).hexdigest())
-                    decoded_sha.append(sha(b"".join([bytes_of[k] for k in ids])).hexdigest())
+                for found in enc.texts(data, offsets):
+                    n, ids, decoded = zip(*found) if found else ((), (), ())
+                    counts.append(sum(n))
+                    ids_sha.append(sha(",".join(ids).encode()).hexdigest())
+                    decoded_sha.append(sha(b"".join(decoded)).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, len(counts)), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(decoded_sha)],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -14,11 +14,8 @@ no rows. Other columns, whatever their names, are ignored.
 
 from __future__ import annotations
 
-import json
 import os
-import re
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -26,37 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common, pretok
+from . import common
+from .bpe import pieces_of, special_pattern
 
 #: Entries of the table of frequent pre-tokens, and documents from which it is chosen. It changes speed only.
 HOT, SAMPLE = 131_072, 8_000
 
 
-@lru_cache(2)
-def special_pattern(path: str) -> re.Pattern | None:
-    """The added tokens that the library cuts out of texts before it splits them."""
-    with open(path, encoding="utf-8") as file:
-        added = [x["content"] for x in json.load(file)["added_tokens"]]
-    return re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
-
-
-def pieces_of(data: np.ndarray, offsets: np.ndarray, special: re.Pattern | None) -> tuple[list[str], np.ndarray]:
-    """The pre-tokens of a chunk, added tokens among them as one piece each, and where each text's begin and end."""
-    text, points, at = common.codepoints(data, offsets)
-    if special is None or not special.search(text):
-        pieces, _, bounds = pretok.pretokens(text, points, at)
-        return pieces, bounds
-    spans = [(a + m.start(), a + m.end()) for a, b in zip(at.tolist(), at[1:].tolist()) for m in special.finditer(text[a:b])]
-    cuts = np.union1d(at, np.array(spans, np.int64).reshape(-1))
-    begin = pretok.starts(points, cuts)
-    inside = np.zeros(len(points) + 1, np.int8)
-    for a, b in spans:
-        inside[a + 1 : b] = 1
-    begin = begin[inside[begin] == 0]
-    edges = np.append(begin, len(points)).tolist()
-    return [text[a:b] for a, b in zip(edges, edges[1:])], np.searchsorted(begin, at)
-
-
 class PieceCounter:
     """Numbers of pieces by the library, one call for many pre-tokens; kept for as long as the task lasts."""
 
