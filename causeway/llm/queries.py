@@ -17,12 +17,25 @@ def op4_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark, sf_dir):
+    from .langid import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
+def op7_quality_rules(spark, sf_dir):
+    from .quality import judge
+
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_byte_bpe(spark, sf_dir):
     from .bpe import round_trip
 
     return round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op6_language_id, op7_quality_rules, op8_byte_bpe)}
 
 ORACLES: dict[str, str] = {}
