@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from . import chat
 from .common import table
 
 
@@ -36,6 +39,14 @@ def op8_byte_bpe(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op6_language_id, op7_quality_rules, op8_byte_bpe)}
+def op9_chat_formatting(spark, sf_dir):
+    from .chat import TRICKY, digest
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).selectExpr("-7L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role").withColumn("text", F.lit(TRICKY))
+    return digest(rows.unionByName(more))
+
+
+QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op6_language_id, op7_quality_rules, op8_byte_bpe, op9_chat_formatting)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_chat_formatting": chat.ORACLE}
