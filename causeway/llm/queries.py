@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat
+from . import chat, warc
 from .common import table
 
 
@@ -20,6 +20,12 @@ def op4_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark, sf_dir):
+    from .warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_language_id(spark, sf_dir):
     from .langid import fit, identify
 
@@ -47,6 +53,6 @@ def op9_chat_formatting(spark, sf_dir):
     return digest(rows.unionByName(more))
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op6_language_id, op7_quality_rules, op8_byte_bpe, op9_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op5_warc, op6_language_id, op7_quality_rules, op8_byte_bpe, op9_chat_formatting)}
 
-ORACLES: dict[str, str] = {"op9_chat_formatting": chat.ORACLE}
+ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op9_chat_formatting": chat.ORACLE}
