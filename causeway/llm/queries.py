@@ -8,6 +8,12 @@ from . import chat, warc
 from .common import table
 
 
+def op2_html_extraction(spark, sf_dir):
+    from .html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark, sf_dir):
     from .packing import pack
 
@@ -53,6 +59,13 @@ def op9_chat_formatting(spark, sf_dir):
     return digest(rows.unionByName(more))
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op5_warc, op6_language_id, op7_quality_rules, op8_byte_bpe, op9_chat_formatting)}
+def op10_nearest_neighbours(spark, sf_dir):
+    from .ann import search
+
+    rows = table(spark, sf_dir, "embeddings")
+    return search(rows, rows.where("vec_id % 100 = 0"))
+
+
+QUERIES = {f.__name__: f for f in (op2_html_extraction, op3_best_fit_packing, op4_token_counts, op5_warc, op6_language_id, op7_quality_rules, op8_byte_bpe, op9_chat_formatting, op10_nearest_neighbours)}
 
 ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op9_chat_formatting": chat.ORACLE}
