@@ -8,6 +8,12 @@ from . import chat, warc
 from .common import table
 
 
+def op1_ngram_jaccard(spark, sf_dir):
+    from .jaccard import groups
+
+    return groups(table(spark, sf_dir, "documents")).drop("rid")
+
+
 def op2_html_extraction(spark, sf_dir):
     from .html import extract
 
@@ -66,6 +72,6 @@ def op10_nearest_neighbours(spark, sf_dir):
     return search(rows, rows.where("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op2_html_extraction, op3_best_fit_packing, op4_token_counts, op5_warc, op6_language_id, op7_quality_rules, op8_byte_bpe, op9_chat_formatting, op10_nearest_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_html_extraction, op3_best_fit_packing, op4_token_counts, op5_warc, op6_language_id, op7_quality_rules, op8_byte_bpe, op9_chat_formatting, op10_nearest_neighbours)}
 
 ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op9_chat_formatting": chat.ORACLE}
