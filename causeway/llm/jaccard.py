@@ -14,7 +14,8 @@ next), which keeps the combinations of a set in proportion to its size.
 Verification without all pairs. A key's nodes are first compared with one hub, the node of smallest fingerprint, then with
 another that differs from key to key; what links falls into components. Only pairs of one key that are then still in
 different components are compared one by one; so no link that joins components is lost, and a group of thousands
-of near copies costs a few comparisons per member. Comparisons use whole sets.
+of near copies costs a few comparisons per member. Where many nodes of one key remain apart, they are compared inside tasks, in
+bounded groups that return only the links which join components. Comparisons use whole sets.
 
 The table of frequent tokens holds at most ``FREQUENT`` entries, the most frequent ones that any batch of documents shows
 several times; its content changes speed only. Intermediate results are written to the shared folder, components are
@@ -43,6 +44,8 @@ WORDS, PERCENT = 5, 75
 FREQUENT = 1 << 20
 #: A token shown in this many documents of one batch is a candidate for the table of frequent tokens.
 SEVERAL = 4
+#: Keys of more nodes than LARGE, if still in several components, are compared inside tasks, in groups of two blocks at most.
+LARGE, BLOCK = 48, 2048
 #: Sets smaller than this use single tokens of any frequency as keys.
 SMALL = 8
 
@@ -267,8 +270,101 @@ def _stars(percent: int, fixed: bool):
     return run
 
 
+def _large(batches):
+    """Rows (key, i, j, node) of the keys that more than ``LARGE`` nodes of several components have.
+
+    The nodes of a key are cut into blocks; the rows of (i, j) are those of two blocks, or of the one block if i = j, so each pair
+    of nodes is together in some bounded group.
+    """
+    found = _groups(batches)
+    if not found:
+        return
+    (key, node, _, component), begin = found
+    for i, j in zip(begin.tolist(), begin[1:].tolist()):
+        if j - i <= LARGE or (component[i:j] == component[i]).all():
+            continue
+        block = np.arange(j - i) // BLOCK
+        last = int(block[-1])
+        for a in range(last + 1):
+            for b in range(a, last + 1):
+                if a == b and last:
+                    continue  # the pairs of one block are also together in its groups with others
+                own = node[i:j][(block == a) | (block == b)]
+                n = len(own)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key[i])), pa.array(np.full(n, a)), pa.array(np.full(n, b)), pa.array(own)], ["key", "i", "j", "node"])
+
+
+def _join_group(nodes: list[int], component: list[int], sets: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Links that connect what the links of a group of sets connect; no others of them are returned."""
+    tokens = [_unpack(s) for s in sets]
+    sizes = np.array([len(t) for t in tokens])
+    order = np.argsort(sizes, kind="stable")
+    sizes = sizes[order]
+    known, code, shown = np.unique(np.concatenate([tokens[k] for k in order]), return_inverse=True, return_counts=True)
+    column = np.cumsum(shown > 1) - 1
+    row = np.repeat(np.arange(len(order)), sizes)
+    useful = shown[code] > 1
+    row, code = row[useful], column[code[useful]]
+    width = int((shown > 1).sum())
+    m = len(order)
+    root = {c: c for c in component}
+
+    def top(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    links = []
+    step = max(64, min(width or 1, 8_000_000 // m))
+    for a in range(0, m, 256):
+        b = min(m, a + 256)
+        most = int(np.searchsorted(sizes, 100 * int(sizes[b - 1]) // percent, "right"))
+        both = np.zeros((b - a, most - a), np.float32)
+        here = (row >= a) & (row < most)
+        r, c = row[here] - a, code[here]
+        for w in range(0, width, step):
+            part = (c >= w) & (c < w + step)
+            dense = np.zeros((most - a, min(step, width - w)), np.float32)
+            dense[r[part], c[part] - w] = 1
+            both += dense[: b - a] @ dense.T
+        union = sizes[a:b, None] + sizes[None, a:most] - both
+        for x, y in zip(*(v.tolist() for v in np.nonzero(100 * both >= percent * union))):
+            p, q = order[a + x], order[a + y]
+            s, t = top(component[p]), top(component[q])
+            if s != t:
+                root[s] = t
+                links.append((nodes[p], nodes[q]))
+    return links
+
+
+def _verify_large(large: DataFrame, label: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
+    """Links between the components of each bounded group of nodes, compared inside the task that holds the group."""
+
+    def run(batches):
+        now, rows = None, []
+        for batch in batches:
+            for key, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, i, j) != now:
+                    if rows:
+                        yield _links(_join_group(*zip(*rows), percent))
+                    now, rows = (key, i, j), []
+                rows.append(row)
+        if rows:
+            yield _links(_join_group(*zip(*rows), percent))
+
+    rows = large.join(label, "node", "left").select("key", "i", "j", "node", F.coalesce("component", "node").alias("component"))
+    rows = rows.join(sets, "node").select("key", "i", "j", "node", "component", "tokens")
+    rows = rows.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    with _batches_of(large.sparkSession, 512):
+        return common.materialise(rows.mapInArrow(run, "a bigint, b bigint"), "links")
+
+
+def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
 def _across(percent: int):
-    """All pairs of each key's nodes that are in different components."""
+    """All pairs of different components of each key that at most ``LARGE`` nodes have."""
 
     def run(batches):
         found = _groups(batches)
@@ -282,7 +378,7 @@ def _across(percent: int):
 
         for i, j in zip(begin.tolist(), begin[1:].tolist()):
             own = component[i:j]
-            if (own == own[0]).all():
+            if j - i > LARGE or (own == own[0]).all():
                 continue
             order = i + np.argsort(n[i:j], kind="stable")
             for k in range(len(order) - 1):
@@ -409,23 +505,27 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     sets = common.materialise(_sets(rows, members.where("n > 0"), shared.select("node").distinct(), words), "sets")
 
     found, label, tried = [], None, None
-    for run in (_stars(percent, True), _stars(percent, False), _across(percent)):
+    for run in (_stars(percent, True), _stars(percent, False), _across(percent), None):
         if label is None:
             own = shared.select("key", "node", "n", F.col("node").alias("component"))
         else:
             own = shared.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-        pairs = own.repartition(parts, "key").mapInArrow(run, "a bigint, b bigint").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = common.materialise(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = _verify(pairs, sets, percent)
+        dealt = own.repartition(parts, "key")
+        if run is None:
+            large = common.materialise(dealt.mapInArrow(_large, "key bigint, i bigint, j bigint, node bigint"), "large")
+            links = _verify_large(large, label, sets, percent, parts)
+        else:
+            pairs = dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+            if tried is not None:
+                pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = common.materialise(pairs, "pairs")
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            links = _verify(pairs, sets, percent)
         if label is None or not links.isEmpty():
             found.append(links)
             label = components(reduce(DataFrame.unionByName, found))
 
-    grouped = members.join(label, "node", "left") if label is not None else members.withColumn("component", F.col("node"))
-    grouped = grouped.withColumn("component", F.coalesce("component", "node"))
+    grouped = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # an empty set links with nothing: each such document is alone
     least = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")).join(label, "node", "left")
     least = least.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("least").alias("least"))
