@@ -63,7 +63,7 @@ def jumps(nodes: DataFrame) -> list[DataFrame]:
 
 
 def branches(nodes: DataFrame, best: int = 1) -> DataFrame:
-    """tree, leaf, branch (rank from 1) and turns (array of role and text, root first) of the ``best`` branches of each tree."""
+    """Turns of the ``best`` branches of each tree: tree, leaf, branch (rank from 1), depth (from 1), role and text."""
     tables = jumps(nodes)
     last = tables[-1]
     parents = tables[0].where("up is not null").select("tree", F.col("up").alias("node"))
@@ -76,26 +76,21 @@ def branches(nodes: DataFrame, best: int = 1) -> DataFrame:
         paths = materialise(paths, "paths")
     depth = nodes.alias("a").join(last.alias("b"), _same("a", "b", "node", "node")).select("a.tree", "a.node", "b.depth", "a.role", "a.text")
     turns = paths.alias("a").join(depth.alias("b"), _same("a", "b", "node", "node"))
-    turn = F.struct("b.depth", F.coalesce("b.role", F.lit("")).alias("role"), F.coalesce("b.text", F.lit("")).alias("text"))
-    grouped = turns.groupBy("a.tree", "a.leaf", "a.branch").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    return grouped.withColumn("turns", F.transform("turns", lambda t: F.struct(t.role.alias("role"), t.text.alias("text"))))
+    return turns.select("a.tree", "a.leaf", "a.branch", "b.depth", F.coalesce("b.role", F.lit("")).alias("role"), F.coalesce("b.text", F.lit("")).alias("text"))
 
 
-def render(paths: DataFrame) -> DataFrame:
-    """``paths`` with ``formatted`` and ``loss``: start and length, in characters of formatted, of each assistant text."""
-
-    def head(t: Column) -> Column:
-        return F.concat(F.lit("### "), F.replace(escape(t.role), F.lit(":"), F.lit("\\c")), F.lit(": "))
-
-    parts = F.transform("turns", lambda t: F.struct(head(t).alias("head"), escape(t.text).alias("body"), (t.role == "assistant").alias("on")))
-    out = paths.withColumn("parts", parts)
-    out = out.withColumn("formatted", F.array_join(F.transform("parts", lambda p: F.concat(p.head, p.body, F.lit(END))), ""))
-    sizes = F.transform("parts", lambda p: F.length(p.head) + F.length(p.body) + F.lit(len(END)))
-    ends = F.transform("parts", lambda p, i: F.aggregate(F.slice(F.col("sizes"), F.lit(1), i + 1), F.lit(0), lambda s, x: s + x))
-    out = out.withColumn("sizes", sizes).withColumn("ends", ends)
-    spans = F.transform("parts", lambda p, i: F.struct((F.get("ends", i) - len(END) - F.length(p.body)).alias("start"), F.length(p.body).alias("length"), p.on.alias("on")))
-    loss = F.transform(F.filter(spans, lambda s: s.on), lambda s: F.struct(s.start.alias("start"), s.length.alias("length")))
-    return out.withColumn("loss", loss).drop("parts", "sizes", "ends")
+def render(turns: DataFrame) -> DataFrame:
+    """tree, leaf, branch, ``formatted`` and ``loss``: start and length, in characters of formatted, of each assistant text."""
+    head = F.concat(F.lit("### "), F.replace(escape(F.col("role")), F.lit(":"), F.lit("\\c")), F.lit(": "))
+    rows = turns.withColumns({"head": head, "body": escape(F.col("text"))})
+    rows = rows.select("tree", "leaf", "branch", "depth", (F.col("role") == "assistant").alias("on"), F.length("head").alias("before"), F.length("body").alias("length"), F.concat("head", "body", F.lit(END)).alias("part"))
+    earlier = Window.partitionBy("tree", "leaf", "branch").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.length("part")).over(earlier), F.lit(0)).cast("int") + F.col("before")
+    rows = rows.withColumn("start", start)
+    grouped = rows.groupBy("tree", "leaf", "branch").agg(F.sort_array(F.collect_list(F.struct("depth", "part", "start", "length", "on"))).alias("parts"))
+    formatted = F.array_join(F.transform("parts", lambda p: p.part), "")
+    loss = F.transform(F.filter("parts", lambda p: p.on), lambda p: F.struct(p.start.alias("start"), p.length.alias("length")))
+    return grouped.select("tree", "leaf", "branch", formatted.alias("formatted"), loss.alias("loss"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -117,12 +112,13 @@ def loss_text(formatted: Column, loss: Column) -> Column:
 
 def digest(turns: DataFrame) -> DataFrame:
     """The contract of the query: what is read back from each formatted conversation."""
-    out = render(branches(materialise(linear(turns), "nodes")))
-    out = out.withColumn("back", read_back(F.col("formatted"))).withColumn("kept", loss_text(F.col("formatted"), F.col("loss")))
+    out = materialise(render(branches(materialise(linear(turns), "nodes"))), "formatted")
+    back = F.transform(read_back(F.col("formatted")), lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
+    out = out.select("tree", "formatted", back.alias("back"), loss_text(F.col("formatted"), F.col("loss")).alias("kept"))
     return out.select(
         F.col("tree").alias("conv_id"),
         F.size("back").cast("bigint").alias("n_turns"),
-        F.sha2(F.array_join(F.transform("back", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.sha2(F.array_join("back", ""), 256).alias("turns_sha256"),
         F.length("kept").cast("bigint").alias("loss_chars"),
         F.sha2("kept", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
