@@ -22,7 +22,7 @@ several times; its content changes speed only. Intermediate results are written
 found by contraction with joins, and nothing that grows with the corpus reaches the driver.
 
 Defined results: null, empty and wordless texts have an empty set and no links. With fewer words than a shingle has, the whole
-sequence is the one token. Repeated rows and ids are documents that share their component; null ids link like others, and a
+sequence is the one token. Repeated rows and ids are documents of their own; null ids link like others, and a
 component of null ids alone has a null id. Very long texts are read whole. An empty table gives no rows. Other columns,
 whatever their names, are ignored. Fingerprints and tokens are 64-bit hashes, and sets are compared by 40 bits of each token.
 """
@@ -34,7 +34,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, textvec
@@ -270,28 +270,32 @@ def _stars(percent: int, fixed: bool):
     return run
 
 
-def _large(batches):
-    """Rows (key, i, j, node) of the keys that more than ``LARGE`` nodes of several components have.
+def _large(most: int, size: int):
+    """Rows (key, i, j, node) of the keys that more than ``most`` nodes of several components have.
 
-    The nodes of a key are cut into blocks; the rows of (i, j) are those of two blocks, or of the one block if i = j, so each pair
-    of nodes is together in some bounded group.
+    The nodes of a key are cut into blocks of ``size``; the rows of (i, j) are those of two blocks, or of the one block if i = j, so
+    each pair of nodes is together in some bounded group.
     """
-    found = _groups(batches)
-    if not found:
-        return
-    (key, node, _, component), begin = found
-    for i, j in zip(begin.tolist(), begin[1:].tolist()):
-        if j - i <= LARGE or (component[i:j] == component[i]).all():
-            continue
-        block = np.arange(j - i) // BLOCK
-        last = int(block[-1])
-        for a in range(last + 1):
-            for b in range(a, last + 1):
-                if a == b and last:
-                    continue  # the pairs of one block are also together in its groups with others
-                own = node[i:j][(block == a) | (block == b)]
-                n = len(own)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key[i])), pa.array(np.full(n, a)), pa.array(np.full(n, b)), pa.array(own)], ["key", "i", "j", "node"])
+
+    def run(batches):
+        found = _groups(batches)
+        if not found:
+            return
+        (key, node, _, component), begin = found
+        for i, j in zip(begin.tolist(), begin[1:].tolist()):
+            if j - i <= most or (component[i:j] == component[i]).all():
+                continue
+            block = np.arange(j - i) // size
+            last = int(block[-1])
+            for a in range(last + 1):
+                for b in range(a, last + 1):
+                    if a == b and last:
+                        continue  # the pairs of one block are also together in its groups with others
+                    own = node[i:j][(block == a) | (block == b)]
+                    n = len(own)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key[i])), pa.array(np.full(n, a)), pa.array(np.full(n, b)), pa.array(own)], ["key", "i", "j", "node"])
+
+    return run
 
 
 def _join_group(nodes: list[int], component: list[int], sets: list[bytes], percent: int) -> list[tuple[int, int]]:
@@ -363,8 +367,8 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _across(percent: int):
-    """All pairs of different components of each key that at most ``LARGE`` nodes have."""
+def _across(percent: int, most: int):
+    """All pairs of different components of each key that at most ``most`` nodes have."""
 
     def run(batches):
         found = _groups(batches)
@@ -378,7 +382,7 @@ def _across(percent: int):
 
         for i, j in zip(begin.tolist(), begin[1:].tolist()):
             own = component[i:j]
-            if j - i > LARGE or (own == own[0]).all():
+            if j - i > most or (own == own[0]).all():
                 continue
             order = i + np.argsort(n[i:j], kind="stable")
             for k in range(len(order) - 1):
@@ -417,7 +421,7 @@ def _sets(rows: DataFrame, members: DataFrame, nodes: DataFrame, words: int) ->
     """node and tokens of the wanted nodes, each read from its first document."""
     first = members.groupBy("node").agg(F.min("rid").alias("rid")).join(nodes, "node", "left_semi")
     first = common.materialise(first, "first")
-    texts = rows.select("rid", "text").join(first, "rid").select("node", "text")
+    texts = rows.select("rid", "text").join(first, "rid").select("node", "text")  # repeated rows share a rid
 
     def run(batches):
         for batch in batches:
@@ -427,7 +431,12 @@ def _sets(rows: DataFrame, members: DataFrame, nodes: DataFrame, words: int) ->
                 packed = [_pack(tokens[e - s : e]) for s, e in zip(sizes.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(packed)), pa.array(packed, pa.binary())], ["node", "tokens"])
 
-    return texts.mapInArrow(run, "node bigint, tokens binary")
+    return texts.mapInArrow(run, "node bigint, tokens binary").dropDuplicates(["node"])
+
+
+def _row_key(docs: DataFrame) -> Column:
+    """A key of a document's id and text: the same however often and in whatever order the rows are computed."""
+    return F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"])
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -489,11 +498,11 @@ def components(links: DataFrame) -> DataFrame:
     return common.materialise(label, "labels")
 
 
-def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """rid, doc_id, n_shingles and component_id of every document; rid tells repeated rows apart (common.with_row_key)."""
+def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: int = LARGE, block: int = BLOCK) -> DataFrame:
+    """rid (of id and text), doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
     parts = common.partitions(spark)
-    rows = common.with_row_key(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).select("rid", "doc_id", "text")
+    rows = docs.select(_row_key(docs).alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     first = common.materialise(_members(rows, words), "members")
     members = first.where("rid is not null").select("rid", "doc_id", "n", "node")
     shown = first.where("token is not null").groupBy("token").agg(F.sum("shown").alias("shown"))
@@ -505,15 +514,15 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     sets = common.materialise(_sets(rows, members.where("n > 0"), shared.select("node").distinct(), words), "sets")
 
     found, label, tried = [], None, None
-    for run in (_stars(percent, True), _stars(percent, False), _across(percent), None):
+    for run in (_stars(percent, True), _stars(percent, False), _across(percent, large), None):
         if label is None:
             own = shared.select("key", "node", "n", F.col("node").alias("component"))
         else:
             own = shared.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
         dealt = own.repartition(parts, "key")
         if run is None:
-            large = common.materialise(dealt.mapInArrow(_large, "key bigint, i bigint, j bigint, node bigint"), "large")
-            links = _verify_large(large, label, sets, percent, parts)
+            apart = common.materialise(dealt.mapInArrow(_large(large, block), "key bigint, i bigint, j bigint, node bigint"), "large")
+            links = _verify_large(apart, label, sets, percent, parts)
         else:
             pairs = dealt.mapInArrow(run, "a bigint, b bigint").distinct()
             if tried is not None:
@@ -535,10 +544,12 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, that of smallest id (of repeated ids the first row), with all its columns."""
+    """One document of each group, that of smallest id (of repeated ids that of smallest key), with all its columns; rows that
+    repeat an id and text, empty ones too, count once."""
     found = groups(docs, words, percent)
     chosen = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     first = found.where("n_shingles > 0").groupBy(F.coalesce("component_id", F.lit(-(1 << 62)))).agg(F.min(chosen).alias("first")).select(F.col("first.rid").alias("rid"))
-    kept = common.materialise(first.unionByName(found.where("n_shingles = 0").select("rid")), "kept")
+    kept = common.materialise(first.unionByName(found.where("n_shingles = 0").select("rid")).distinct(), "kept")
     name = "__rid"
-    return common.with_row_key(docs, name).join(kept.withColumnRenamed("rid", name), name, "left_semi").drop(name)
+    rows = docs.withColumn(name, _row_key(docs)).join(kept.withColumnRenamed("rid", name), name, "left_semi")
+    return rows.dropDuplicates([name]).drop(name)

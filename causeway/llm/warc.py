@@ -6,7 +6,7 @@ blocks, and a directory with the first key and place of each block. The director
 sorted sparse table: a look-up goes by binary search to a block, by binary search within it to a capture line, and by one
 range read to the record.
 
-Of records with equal payloads of at least ``min_bytes``, the one of smallest page id (nulls last, then the first row) is a
+Of records with equal payloads of at least ``min_bytes``, the one of smallest page id (nulls last, then of smallest URL) is a
 response and the others are revisits that refer to it; every other record is a response.
 
 Files are written under a temporary name and renamed, and their names depend on the partition alone, so that tasks may
@@ -59,8 +59,8 @@ def payload_digest(payload: bytes) -> str:
 
 def record(row: dict, payload: bytes) -> bytes:
     """One WARC record as a gzip member."""
-    response = row["refers_to"] is None and row["kind"] == "response"
-    head = {"WARC-Type": row["kind"], "WARC-Record-ID": f"<urn:page:{_text(row['page_id'])}:{row['rid']}>"}
+    response = row["kind"] == "response"
+    head = {"WARC-Type": row["kind"], "WARC-Record-ID": f"<urn:page:{_text(row['page_id'])}:{uuid.uuid4()}>"}
     if row["url"] is not None:
         head["WARC-Target-URI"] = row["url"].replace("\r", "%0D").replace("\n", "%0A")
     head["WARC-Payload-Digest"] = f"sha1:{row['digest']}"
@@ -113,48 +113,50 @@ class Folder:
 
 
 def classify(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """rid, page_id, url, key, html, size, digest, kind and refers_to of every row."""
+    """page_id, url, key, html, size, digest, kind and refers_to of every row. Rows that repeat a response are responses here."""
 
     def run(batches):
         for batch in batches:
-            data, offsets = common.text_bytes(batch.column(3))
+            data, offsets = common.text_bytes(batch.column(2))
             digests = [payload_digest(data[a:b].tobytes()) for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
-            keys = [url_key(u) for u in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.string()), pa.array(np.diff(offsets)), pa.array(digests, pa.string())], ["rid", "page_id", "url", "html", "key", "size", "digest"])
-
-    rows = common.with_row_key(pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html")).select("rid", "page_id", "url", "html")
-    rows = rows.mapInArrow(run, "rid bigint, page_id bigint, url string, html string, key string, size bigint, digest string")
-    first = rows.where(F.col("size") >= min_bytes).groupBy("digest")
-    first = first.agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "rid")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
-    first = first.select("digest", F.col("first.page_id").alias("first_id"), F.col("first.rid").alias("first_rid"))
+            keys = [url_key(u) for u in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.string()), pa.array(np.diff(offsets)), pa.array(digests, pa.string())], ["page_id", "url", "html", "key", "size", "digest"])
+
+    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html").mapInArrow(run, "page_id bigint, url string, html string, key string, size bigint, digest string")
+    order = F.struct(F.col("page_id").isNull().alias("n"), "page_id", F.col("url").isNull().alias("m"), "url")
+    first = rows.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    first = first.select("digest", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"), F.lit(True).alias("shared"))
     first = common.materialise(first, "copies")  # so that both sides of the join are plain exchanges, whose hot keys can be split
     out = rows.join(first, "digest", "left")
-    revisit = (F.col("size") >= min_bytes) & F.col("first_rid").isNotNull() & (F.col("first_rid") != F.col("rid"))
-    out = out.withColumn("kind", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("first_id")))
-    return out.select("rid", "page_id", "url", "key", "html", "size", "digest", "kind", "refers_to")
+    revisit = F.col("shared") & ~(F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("url").eqNullSafe(F.col("first_url")))
+    out = out.withColumn("kind", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(F.col("shared"), F.col("first_id")))
+    return out.select("page_id", "url", "key", "html", "size", "digest", "kind", "refers_to", F.coalesce("shared", F.lit(False)).alias("shared"))
 
 
 def write(pages: DataFrame, uri: str, min_bytes: int = 0) -> DataFrame:
     """Writes archives and index under ``uri``; returns the sparse directory: first_key, last_key, archive, start, length, lines."""
     parts = common.partitions(pages.sparkSession)
-    rows = classify(pages, min_bytes).withColumn("salt", F.xxhash64("rid"))
+    rows = classify(pages, min_bytes).withColumn("salt", F.xxhash64("page_id", "url", "digest"))  # equal rows come together
     rows = rows.repartitionByRange(parts, "key", "salt").sortWithinPartitions("key", "salt").drop("salt")
 
     def run(batches):
         from pyspark import TaskContext
 
         name = f"part-{TaskContext.get().partitionId():06d}"
-        folder, lines, place = Folder(uri), [], 0
+        folder, lines, place, before = Folder(uri), [], 0, None
 
         def members():
-            nonlocal place
+            nonlocal place, before
             for batch in batches:
-                html = batch.column(4)
-                data, offsets = common.text_bytes(html)
-                meta = batch.select(["rid", "page_id", "url", "key", "size", "digest", "kind", "refers_to"]).to_pylist()
+                data, offsets = common.text_bytes(batch.column(3))
+                meta = batch.select(["page_id", "url", "key", "size", "digest", "kind", "refers_to", "shared"]).to_pylist()
                 for row, a, b in zip(meta, offsets.tolist(), offsets[1:].tolist()):
+                    now = row["page_id"], row["url"], row["digest"]
+                    if now == before and row["shared"]:  # a repeated row visits the first of its kind again
+                        row["kind"] = "revisit"
+                    before = now
                     member = record(row, data[a:b].tobytes())
-                    lines.append((row["key"], json.dumps([row["page_id"], row["rid"], place, len(member), row["digest"], row["kind"]])))
+                    lines.append((row["key"], json.dumps([row["page_id"], place, len(member), row["digest"], row["kind"]])))
                     place += len(member)
                     yield member
 
@@ -193,7 +195,7 @@ def look_up(uri: str, directory: list[tuple], url: str) -> list[dict]:
         lines = read_lines(folder, archive, start, length)
         keys = [k for k, _ in lines]
         i = bisect_right(keys, key)
-        for _, (_, _, place, size, _, _) in (x for x in lines[:i] if x[0] == key):
+        for _, (_, place, size, _, _) in (x for x in lines[:i] if x[0] == key):
             with folder.open(f"{archive}.warc.gz") as file:
                 file.seek(place)
                 found = parse(file.read(size))
@@ -212,7 +214,7 @@ def read_all(directory: DataFrame, uri: str) -> DataFrame:
                 lines = read_lines(folder, archive, start, length)
                 rows = []
                 with folder.open(f"{archive}.warc.gz") as file:
-                    for _, (_, _, place, size, _, _) in lines:
+                    for _, (_, place, size, _, _) in lines:
                         file.seek(place)
                         r = parse(file.read(size))
                         digest = r["WARC-Payload-Digest"].removeprefix("sha1:")
