@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -40,6 +41,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver forget finished steps, upon which Spark deletes their shuffle files."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def with_row_key(df: DataFrame, name: str = "rid") -> DataFrame:
     """A key per row: repeated ids stay separate rows. The same scan gets the same keys each time."""
     return df.withColumn(name, F.monotonically_increasing_id())

@@ -15,7 +15,8 @@ Verification without all pairs. A key's nodes are first compared with one hub, t
 another that differs from key to key; what links falls into components. Only pairs of one key that are then still in
 different components are compared one by one; so no link that joins components is lost, and a group of thousands
 of near copies costs a few comparisons per member. Where many nodes of one key remain apart, they are compared inside tasks, in
-bounded groups that return only the links which join components. Comparisons use whole sets.
+bounded groups that return only the links which join components. Comparisons use whole sets; an upper bound on the overlap, from
+histograms of the tokens, spares pairs that cannot link the exchange of their sets.
 
 The table of frequent tokens holds at most ``FREQUENT`` entries, the most frequent ones that any batch of documents shows
 several times; its content changes speed only. Intermediate results are written to the shared folder, components are
@@ -43,7 +44,7 @@ from .textvec import mix
 WORDS, PERCENT = 5, 75
 FREQUENT = 1 << 20
 #: A token shown in this many documents of one batch is a candidate for the table of frequent tokens.
-SEVERAL = 4
+SEVERAL = 3
 #: Keys of more nodes than LARGE, if still in several components, are compared inside tasks, in groups of two blocks at most.
 LARGE, BLOCK = 48, 2048
 #: Sets smaller than this use single tokens of any frequency as keys.
@@ -428,10 +429,11 @@ def _sets(rows: DataFrame, members: DataFrame, nodes: DataFrame, words: int) ->
             for i, data, offsets in common.text_chunks(batch.column(1)):
                 tokens, _, sizes = token_sets(data, offsets, words)
                 ends = np.cumsum(sizes)
-                packed = [_pack(tokens[e - s : e]) for s, e in zip(sizes.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(packed)), pa.array(packed, pa.binary())], ["node", "tokens"])
+                own = [tokens[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist())]
+                columns = [batch.column(0).slice(i, len(own)), pa.array([_pack(t) for t in own], pa.binary()), pa.array([_histogram(t) for t in own], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "tokens", "histogram"])
 
-    return texts.mapInArrow(run, "node bigint, tokens binary").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node bigint, tokens binary, histogram binary").dropDuplicates(["node"])
 
 
 def _row_key(docs: DataFrame) -> Column:
@@ -439,8 +441,34 @@ def _row_key(docs: DataFrame) -> Column:
     return F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"])
 
 
+def _histogram(tokens: np.ndarray) -> bytes:
+    """Numbers of tokens in 256 buckets; empty where a bucket overflows a byte."""
+    counts = np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose histograms allow a link: two sets share at most the lesser count of each bucket."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = (batch.column(k).to_pylist() for k in (2, 3))
+            keep = np.array([not (x and y) for x, y in zip(a, b)], bool)
+            known = np.flatnonzero(~keep)
+            if len(known):
+                x, y = (np.frombuffer(b"".join(c[k] for k in known), np.uint8).reshape(-1, 256) for c in (a, b))
+                both = np.minimum(x, y).sum(1, dtype=np.int64)
+                keep[known] = 100 * both >= percent * (x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64) - both)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], ["a", "b"])
+
+    of_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("histogram").alias("t")), "b")
+    both = of_b.join(sets.select(F.col("node").alias("a"), F.col("histogram").alias("s")), "a").select("a", "b", "s", "t")
+    return common.materialise(both.mapInArrow(run, "a bigint, b bigint"), "possible")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by their whole sets."""
+    pairs = _possible(pairs, sets, percent)
 
     def run(batches):
         for batch in batches:
@@ -513,6 +541,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
     shared = common.materialise(keys.mapInArrow(_shared, "key bigint, node bigint, n int"), "keys")
     sets = common.materialise(_sets(rows, members.where("n > 0"), shared.select("node").distinct(), words), "sets")
 
+    common.release(spark)
     found, label, tried = [], None, None
     for run in (_stars(percent, True), _stars(percent, False), _across(percent, large), None):
         if label is None:
@@ -530,6 +559,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
             pairs = common.materialise(pairs, "pairs")
             tried = pairs if tried is None else tried.unionByName(pairs)
             links = _verify(pairs, sets, percent)
+        common.release(spark)
         if label is None or not links.isEmpty():
             found.append(links)
             label = components(reduce(DataFrame.unionByName, found))
