@@ -22,9 +22,9 @@ def read_csv(spark: SparkSession, path: str, schema: str, sentinel: float | None
 
 
 def read_csv_or_reject(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the schema, and the lines that don't."""
+    """Rows that fit the schema, and those that don't, with their lines in ``_corrupt_record``."""
     rows = spark.read.schema(f"{schema}, _corrupt_record string").csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
-    return nan_to_null(rows.where("_corrupt_record is null").drop("_corrupt_record")), rows.where("_corrupt_record is not null").select("_corrupt_record")
+    return nan_to_null(rows.where("_corrupt_record is null").drop("_corrupt_record")), rows.where("_corrupt_record is not null")
 
 
 def read_keyed_files(spark: SparkSession, pattern: str, key: str, name: str) -> DataFrame:
