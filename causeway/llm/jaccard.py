@@ -47,6 +47,8 @@ FREQUENT = 1 << 20
 SEVERAL = 3
 #: Keys of more nodes than LARGE, if still in several components, are compared inside tasks, in groups of two blocks at most.
 LARGE, BLOCK = 48, 2048
+#: Nodes up to which the list of those to compare is sent to all executors; a longer one is joined by a shuffle.
+FEW = 200_000
 #: Sets smaller than this use single tokens of any frequency as keys.
 SMALL = 8
 
@@ -469,6 +471,8 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by their whole sets."""
     pairs = _possible(pairs, sets, percent)
+    nodes = common.materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    sets = sets.join(F.broadcast(nodes) if nodes.count() <= FEW else nodes, "node", "left_semi")
 
     def run(batches):
         for batch in batches:
