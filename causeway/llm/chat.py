@@ -45,33 +45,36 @@ def _same(a: str, b: str, left: str, right: str) -> Column:
     return F.col(f"{a}.tree").eqNullSafe(F.col(f"{b}.tree")) & (F.col(f"{a}.{left}") == F.col(f"{b}.{right}"))
 
 
-def jumps(nodes: DataFrame) -> list[DataFrame]:
-    """For k = 0, 1, ...: tree, node, up (the ancestor 2**k steps above, or null), and total and depth of the steps so far."""
+def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """For k = 0, 1, ... the messages that have an ancestor 2**k steps above: tree, node and up, that ancestor; and for all messages
+    total and depth up to the root. A step joins only the messages that have not reached their root yet."""
     known = nodes.select("tree", "node")
     first = nodes.alias("a").join(known.alias("b"), _same("a", "b", "parent", "node"), "left")
     first = first.select("a.tree", "a.node", F.col("b.node").alias("up"), F.coalesce("a.score", F.lit(0.0)).alias("total"), F.lit(1).cast("bigint").alias("depth"))
-    out = [materialise(first, "jump")]
-    while (open_ := out[-1].where("up is not null").agg(F.max("depth")).first()[0]) is not None:
-        if open_ > 1 << 40:
+    first = materialise(first, "jump")
+    done, rest = first.where("up is null"), first.where("up is not null")
+    out = [rest]
+    while (deepest := rest.agg(F.max("depth")).first()[0]) is not None:
+        if deepest > 1 << 40:
             raise ValueError("some messages are their own ancestors")
-        a, b = out[-1].alias("a"), out[-1].alias("b")
-        longer = a.join(b, _same("a", "b", "up", "node"), "left").select(
+        longer = rest.alias("a").join(done.unionByName(rest).alias("b"), _same("a", "b", "up", "node"), "left").select(
             "a.tree", "a.node", "b.up", (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"), (F.col("a.depth") + F.coalesce("b.depth", F.lit(0))).alias("depth")
         )
-        out.append(materialise(longer, "jump"))
-    return out
+        longer = materialise(longer, "jump")
+        done, rest = done.unionByName(longer.where("up is null")), longer.where("up is not null")
+        out.append(rest)
+    return out, done
 
 
 def branches(nodes: DataFrame, best: int = 1) -> DataFrame:
     """Turns of the ``best`` branches of each tree: tree, leaf, branch (rank from 1), depth (from 1), role and text."""
-    tables = jumps(nodes)
-    last = tables[-1]
-    parents = tables[0].where("up is not null").select("tree", F.col("up").alias("node"))
+    tables, last = jumps(nodes)
+    parents = tables[0].select("tree", F.col("up").alias("node"))
     leaves = last.alias("a").join(parents.alias("b"), _same("a", "b", "node", "node"), "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))
     paths = leaves.withColumn("branch", rank).where(F.col("branch") <= best).select("tree", F.col("node").alias("leaf"), "branch", "node")
     for table in reversed(tables[:-1]):
-        above = paths.alias("a").join(table.where("up is not null").alias("b"), _same("a", "b", "node", "node"))
+        above = paths.alias("a").join(table.alias("b"), _same("a", "b", "node", "node"))
         paths = paths.unionByName(above.select("a.tree", "a.leaf", "a.branch", F.col("b.up").alias("node")))
         paths = materialise(paths, "paths")
     depth = nodes.alias("a").join(last.alias("b"), _same("a", "b", "node", "node")).select("a.tree", "a.node", "b.depth", "a.role", "a.text")
