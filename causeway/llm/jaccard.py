@@ -531,7 +531,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: int = LARGE, block: int = BLOCK) -> DataFrame:
-    """rid (of id and text), doc_id, n_shingles and component_id of every document."""
+    """rid (of id and text), doc_id, n_shingles, component_id and component of every document.
+
+    component_id is the smallest doc_id of the component; ids may be null or repeated, so only component, its smallest node, tells
+    components apart.
+    """
     spark = docs.sparkSession
     parts = common.partitions(spark)
     rows = docs.select(_row_key(docs).alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -574,7 +578,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
     least = least.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("least").alias("least"))
     out = grouped.join(common.materialise(least, "least"), "component", "left")
     alone = F.col("n") == 0
-    return out.select("rid", "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    return out.select("rid", "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "component")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -582,7 +586,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     repeat an id and text, empty ones too, count once."""
     found = groups(docs, words, percent)
     chosen = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
-    first = found.where("n_shingles > 0").groupBy(F.coalesce("component_id", F.lit(-(1 << 62)))).agg(F.min(chosen).alias("first")).select(F.col("first.rid").alias("rid"))
+    first = found.where("n_shingles > 0").groupBy("component").agg(F.min(chosen).alias("first")).select(F.col("first.rid").alias("rid"))
     kept = common.materialise(first.unionByName(found.where("n_shingles = 0").select("rid")).distinct(), "kept")
     name = "__rid"
     rows = docs.withColumn(name, _row_key(docs)).join(kept.withColumnRenamed("rid", name), name, "left_semi")

@@ -11,7 +11,7 @@ from .common import table
 def op1_ngram_jaccard(spark, sf_dir):
     from .jaccard import groups
 
-    return groups(table(spark, sf_dir, "documents")).drop("rid")
+    return groups(table(spark, sf_dir, "documents")).drop("rid", "component")
 
 
 def op2_html_extraction(spark, sf_dir):

@@ -83,6 +83,13 @@ def test_keep_one_keeps_the_smallest_of_each_group_with_all_columns(spark):
     assert ids.count(1) == 1 and ids.count(9) == 1 and 10 not in ids and ids.count(2) == 1 and {3, 4, 5} <= set(ids) and None in ids
 
 
+def test_keep_one_tells_groups_apart_whose_ids_are_null_or_repeated(spark):
+    a, b, c, d, e = near_copies(1, 40, 0, 11) + near_copies(1, 40, 0, 12) + near_copies(1, 40, 0, 13) + near_copies(1, 40, 0, 14) + near_copies(1, 40, 0, 15)
+    rows = [doc(None, a), doc(None, a + " more"), doc(None, b), doc(2, c), doc(2, d), doc(3, d + " more"), doc(None, e), doc(7, e + " more")]
+    kept = sorted((r.doc_id or 0, r.text.removesuffix(" more")) for r in jaccard.keep_one(frame(spark, rows)).collect())
+    assert kept == sorted([(0, a), (0, b), (2, c), (2, d), (7, e)])
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_linked_sets_share_a_key(seed):
     rng = np.random.default_rng(seed)
