@@ -18,6 +18,9 @@ of near copies costs a few comparisons per member. Where many nodes of one key r
 bounded groups that return only the links which join components. Comparisons use whole sets; an upper bound on the overlap, from
 histograms of the tokens, spares pairs that cannot link the exchange of their sets.
 
+Links. With the components known, all pairs of nodes of one component are compared inside tasks, in bounded groups that return
+only how many documents each node links with; so every link is counted, and no row is made for a pair.
+
 The table of frequent tokens holds at most ``FREQUENT`` entries, the most frequent ones that any batch of documents shows
 several times; its content changes speed only. Intermediate results are written to the shared folder, components are
 found by contraction with joins, and nothing that grows with the corpus reaches the driver.
@@ -47,6 +50,8 @@ FREQUENT = 1 << 20
 SEVERAL = 3
 #: Keys of more nodes than LARGE, if still in several components, are compared inside tasks, in groups of two blocks at most.
 LARGE, BLOCK = 48, 2048
+#: Links are counted in groups of two cells at most, of about BLOCK nodes and CELL tokens each.
+CELL = 1_000_000
 #: Nodes up to which the list of those to compare is sent to all executors; a longer one is joined by a shuffle.
 FEW = 200_000
 #: Sets smaller than this use single tokens of any frequency as keys.
@@ -301,12 +306,16 @@ def _large(most: int, size: int):
     return run
 
 
-def _join_group(nodes: list[int], component: list[int], sets: list[bytes], percent: int) -> list[tuple[int, int]]:
-    """Links that connect what the links of a group of sets connect; no others of them are returned."""
+def _linked(sets: list[bytes], percent: int):
+    """The links of a group of sets: first their order by size, then (a, linked) for each block of sets in that order.
+
+    linked[x, y] tells whether the sets a + x and a + y of the order link, for x < y; each pair is in one block at most.
+    """
     tokens = [_unpack(s) for s in sets]
     sizes = np.array([len(t) for t in tokens])
     order = np.argsort(sizes, kind="stable")
     sizes = sizes[order]
+    yield order
     known, code, shown = np.unique(np.concatenate([tokens[k] for k in order]), return_inverse=True, return_counts=True)
     column = np.cumsum(shown > 1) - 1
     row = np.repeat(np.arange(len(order)), sizes)
@@ -314,14 +323,6 @@ def _join_group(nodes: list[int], component: list[int], sets: list[bytes], perce
     row, code = row[useful], column[code[useful]]
     width = int((shown > 1).sum())
     m = len(order)
-    root = {c: c for c in component}
-
-    def top(c):
-        while root[c] != c:
-            root[c] = c = root[root[c]]
-        return c
-
-    links = []
     step = max(64, min(width or 1, 8_000_000 // m))
     for a in range(0, m, 256):
         b = min(m, a + 256)
@@ -335,7 +336,23 @@ def _join_group(nodes: list[int], component: list[int], sets: list[bytes], perce
             dense[r[part], c[part] - w] = 1
             both += dense[: b - a] @ dense.T
         union = sizes[a:b, None] + sizes[None, a:most] - both
-        for x, y in zip(*(v.tolist() for v in np.nonzero(100 * both >= percent * union))):
+        yield a, np.triu(100 * both >= percent * union, 1)
+
+
+def _join_group(nodes: list[int], component: list[int], sets: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Links that connect what the links of a group of sets connect; no others of them are returned."""
+    root = {c: c for c in component}
+
+    def top(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    links = []
+    found = _linked(sets, percent)
+    order = next(found)
+    for a, linked in found:
+        for x, y in zip(*(v.tolist() for v in np.nonzero(linked))):
             p, q = order[a + x], order[a + y]
             s, t = top(component[p]), top(component[q])
             if s != t:
@@ -344,6 +361,62 @@ def _join_group(nodes: list[int], component: list[int], sets: list[bytes], perce
     return links
 
 
+def _count_group(cell: list[int], copies: list[int], sets: list[bytes], across: bool, percent: int) -> np.ndarray:
+    """For each set of a group how many documents its links lead to; ``across``: only links from one cell to the other."""
+    found = _linked(sets, percent)
+    order = next(found)
+    cell, copies, count = np.array(cell)[order], np.array(copies, np.float64)[order], np.zeros(len(order))
+    for a, linked in found:
+        b, most = a + linked.shape[0], a + linked.shape[1]
+        if across:
+            linked &= cell[a:b, None] != cell[None, a:most]
+        linked = linked.astype(np.float64)
+        count[a:b] += linked @ copies[a:most]
+        count[a:most] += copies[a:b] @ linked
+    out = np.empty(len(order), np.int64)
+    out[order] = count
+    return out
+
+
+def _count_links(nodes: DataFrame, sets: DataFrame, percent: int, parts: int, size: int) -> DataFrame:
+    """node and others, the number of documents of other nodes that it links with (columns node, n, copies, component).
+
+    All links are inside components. The nodes of one are dealt into cells of about ``size`` nodes and ``CELL`` tokens; every two
+    cells, and every cell with itself, make a group that one task compares, so each pair of a component is counted once.
+    """
+
+    def run(batches):
+        now, rows = None, []
+
+        def counted():
+            node, cell, copies, tokens = zip(*rows)
+            count = _count_group(cell, copies, tokens, now[1] != now[2], percent)
+            return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(count)], ["node", "others"])
+
+        for batch in batches:
+            for component, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (component, i, j) != now:
+                    if rows:
+                        yield counted()
+                    now, rows = (component, i, j), []
+                rows.append(row)
+        if rows:
+            yield counted()
+
+    cells = F.ceil(F.greatest(F.count("*") / size, F.sum("n") / CELL)).cast("bigint")
+    several = common.materialise(nodes.groupBy("component").agg(cells.alias("cells")).where("cells > 1"), "cells")
+    rows = nodes.join(F.broadcast(several) if several.count() <= FEW else several, "component", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)))
+    rows = rows.select("component", F.least("cell", "with").alias("i"), F.greatest("cell", "with").alias("j"), "node", "cell", "copies")
+    rows = common.materialise(rows, "dealt")
+    rows = (F.broadcast(rows) if rows.count() <= FEW else rows).join(sets.select("node", "tokens"), "node")
+    rows = rows.select("component", "i", "j", "node", "cell", "copies", "tokens").repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
+    with _batches_of(nodes.sparkSession, 512):
+        counts = common.materialise(rows.mapInArrow(run, "node bigint, others bigint"), "counts")
+    return counts.groupBy("node").agg(F.sum("others").alias("others"))
+
+
 def _verify_large(large: DataFrame, label: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
     """Links between the components of each bounded group of nodes, compared inside the task that holds the group."""
 
@@ -530,11 +603,11 @@ def components(links: DataFrame) -> DataFrame:
     return common.materialise(label, "labels")
 
 
-def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: int = LARGE, block: int = BLOCK) -> DataFrame:
-    """rid (of id and text), doc_id, n_shingles, component_id and component of every document.
+def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: int = LARGE, block: int = BLOCK, links: bool = True) -> DataFrame:
+    """rid (of id and text), doc_id, n_shingles, component_id, component and n_links of every document.
 
     component_id is the smallest doc_id of the component; ids may be null or repeated, so only component, its smallest node, tells
-    components apart.
+    components apart. n_links is the number of other documents that link with this one, copies included; ``links=False`` leaves it out.
     """
     spark = docs.sparkSession
     parts = common.partitions(spark)
@@ -559,32 +632,40 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
         dealt = own.repartition(parts, "key")
         if run is None:
             apart = common.materialise(dealt.mapInArrow(_large(large, block), "key bigint, i bigint, j bigint, node bigint"), "large")
-            links = _verify_large(apart, label, sets, percent, parts)
+            more = _verify_large(apart, label, sets, percent, parts)
         else:
             pairs = dealt.mapInArrow(run, "a bigint, b bigint").distinct()
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = common.materialise(pairs, "pairs")
             tried = pairs if tried is None else tried.unionByName(pairs)
-            links = _verify(pairs, sets, percent)
+            more = _verify(pairs, sets, percent)
         common.release(spark)
-        if label is None or not links.isEmpty():
-            found.append(links)
+        if label is None or not more.isEmpty():
+            found.append(more)
             label = components(reduce(DataFrame.unionByName, found))
 
-    grouped = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # an empty set links with nothing: each such document is alone
-    least = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")).join(label, "node", "left")
-    least = least.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("least").alias("least"))
+    nodes = members.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    nodes = common.materialise(nodes.join(label, "node", "left"), "nodes")
+    least = nodes.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("least").alias("least"))
+    own = nodes.select("node", "component", (F.col("copies") - 1).alias("n_links"))
+    if links:
+        others = _count_links(nodes.where("component is not null").select("node", "n", "copies", "component"), sets, percent, parts, block)
+        own = own.join(others, "node", "left").select("node", "component", (F.col("n_links") + F.coalesce("others", F.lit(0))).alias("n_links"))
+        own = common.materialise(own, "own")
+        common.release(spark)
+    grouped = members.join(own, "node", "left").withColumn("component", F.coalesce("component", "node"))
     out = grouped.join(common.materialise(least, "least"), "component", "left")
     alone = F.col("n") == 0
-    return out.select("rid", "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "component")
+    columns = ["rid", "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "component"]
+    return out.select(*columns, *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if links else []))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each group, that of smallest id (of repeated ids that of smallest key), with all its columns; rows that
     repeat an id and text, empty ones too, count once."""
-    found = groups(docs, words, percent)
+    found = groups(docs, words, percent, links=False)
     chosen = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     first = found.where("n_shingles > 0").groupBy("component").agg(F.min(chosen).alias("first")).select(F.col("first.rid").alias("rid"))
     kept = common.materialise(first.unionByName(found.where("n_shingles = 0").select("rid")).distinct(), "kept")

@@ -75,6 +75,16 @@ def test_chains_passages_and_groups_against_brute_force(spark):
     assert found(jaccard.groups(df, large=6, block=8)) == want  # the groups of one key are compared inside tasks
 
 
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 8])
+def test_every_link_is_counted(spark, block):
+    texts = near_copies(40, 80, 2, 1) + near_copies(30, 30, 3, 5) + near_copies(3, 80, 1, 7)
+    texts += [" ".join(f"c{k}" for k in range(i, i + 50)) for i in range(0, 11, 2)] + texts[:3] + [None, ""]
+    sets = [shingles(t) for t in texts]
+    links = [sum(i != j and bool(x) and 100 * len(x & y) >= 75 * len(x | y) for j, y in enumerate(sets)) for i, x in enumerate(sets)]
+    out = jaccard.groups(frame(spark, [doc(i, t) for i, t in enumerate(texts)]), large=6, block=block)
+    assert {r.doc_id: r.n_links for r in out.collect()} == dict(enumerate(links)) and sum(links) > 500
+
+
 def test_keep_one_keeps_the_smallest_of_each_group_with_all_columns(spark):
     rows = hard_documents()
     kept = jaccard.keep_one(frame(spark, rows))
