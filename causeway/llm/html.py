@@ -43,6 +43,8 @@ BOILERPLATE = re.compile(
     r"pagination|pager|pagenav|skip|toolbar|tooltip|hidden|tags|tagcloud|byline|print)$"
 )
 GOOD = re.compile(r"^(article|main|content|post|entry|story|body|text|page|articlebody|maincontent|postcontent|entrycontent|articlecontent)$")
+#: A name that begins so says what is not there, or is beside: with-sidebar, no-header.
+MODIFIERS = frozenset("with without no not has".split())
 CONTAINERS = frozenset("article main section div td body center blockquote".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -54,6 +56,23 @@ _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td
 _SCOPE = frozenset("ul ol dl table td th div article section main body html blockquote aside nav header footer form select".split())
 
 
+def _boilerplate(words: list[str]) -> bool:
+    return words[0] not in MODIFIERS and any(map(BOILERPLATE.match, words))
+
+
+def _judge(values: list[str]) -> tuple[bool, bool]:
+    """Whether the names of the attributes of an element mark boilerplate, and whether others of them mark an article.
+
+    Where an attribute begins with a name of an article, and none with one of boilerplate, the rest are modifiers of that article.
+    """
+    attributes = [[w for name in v.split() if (w := _words(name))] for v in values]
+    attributes = [a for a in attributes if a]
+    bad = any(_boilerplate(w) for a in attributes for w in a)
+    article = [[not _boilerplate(w) and bool(GOOD.match(w[-1])) for w in a] for a in attributes]
+    first = any(a[0] for a in article) and not any(_boilerplate(a[0]) for a in attributes)
+    return bad and not first, any(map(any, article))
+
+
 def _words(value: str) -> list[str]:
     """Names of an attribute, lower case, camelCase and dashes apart, and each name joined."""
     out = []
@@ -64,7 +83,7 @@ def _words(value: str) -> list[str]:
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "dropped", "link", "text", "linked", "good", "heading", "blocks")
+    __slots__ = ("tag", "parent", "path", "dropped", "link", "text", "linked", "good", "heading", "blocks", "doubtful", "size")
 
     def __init__(self, tag: str, parent: _Element | None, names: list[str], dropped: bool, kind: str):
         self.tag, self.parent = tag, parent
@@ -73,7 +92,8 @@ class _Element:
         self.link = tag == "a" or bool(parent and parent.link)
         self.good = tag in ("article", "main") or any(map(GOOD.match, names))
         self.text = self.linked = 0
-        self.heading = False
+        self.heading = self.doubtful = False
+        self.size = 0
 
 
 class Page:
@@ -83,6 +103,8 @@ class Page:
         self.blocks: list[tuple[_Element, str]] = []
         self.containers: list[_Element] = []
         self._inline: list[str] = []
+        self._named: list[tuple[_Element, bool]] = []  # containers that names mark as boilerplate; whether others mark an article
+        self._articles: list[_Element] = []
         root = _Element("", None, [], False, "")
         self._top = root
         at, n = 0, len(source)
@@ -111,6 +133,50 @@ class Page:
                     at = end.end() if end else n
                     self._close(tag)
         self._flush()
+        if self._named:
+            self._settle()
+
+    def _settle(self) -> None:
+        """Drops the containers whose names mark boilerplate, but for those that hold what no other part of the page does.
+
+        One stays if names also mark an article and it has as much text as all containers of no such name together, and half of the
+        largest one of its kind; or if it holds an article or main element and no other part of the page has one.
+        """
+        clear = 0
+        for e, text in self.blocks:
+            up, inside = e, False
+            while up is not None:
+                up.size += len(text)
+                inside = inside or up.doubtful
+                up = up.parent
+            clear += 0 if inside else len(text)
+        within: dict[_Element, int] = defaultdict(int)
+        apart = False
+        for e in self._articles:
+            up, inside = e.parent, False
+            while up is not None:
+                within[up] += 1
+                inside = inside or up.doubtful
+                up = up.parent
+            apart = apart or not inside
+        most = max((e.size for e, article in self._named if article), default=0)
+        for e, article in self._named:
+            if article and e.size >= max(clear, most / 2) or not apart and within[e]:
+                e.doubtful = False
+        lost: dict[_Element, bool] = {}
+
+        def gone(e: _Element) -> bool:
+            chain = []
+            while e is not None and e not in lost:
+                chain.append(e)
+                e = e.parent
+            out = lost[e] if e is not None else False
+            for x in reversed(chain):
+                out = lost[x] = out or x.doubtful
+            return out
+
+        self.blocks = [b for b in self.blocks if not gone(b[0])]
+        self.containers = [c for c in self.containers if not gone(c)]
 
     def _text(self, text: str) -> None:
         top = self._top
@@ -139,28 +205,37 @@ class Page:
             if tag == "br" and not self._top.dropped:
                 self._inline.append(" ")
             return
-        names, kind, hidden = [], "", False
+        names, values, kind, hidden = [], [], "", False
         if attributes and not attributes.isspace():
             for m in _ATTRIBUTE.finditer(attributes):
                 key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
                 if key in ("class", "id", "role"):
                     words = _words(entities.unescape(value))
-                    names += words
+                    if key != "id" or tag not in ("h1", "h2", "h3", "h4", "h5", "h6"):  # a heading's id is made of its text
+                        names += words
+                        values.append(entities.unescape(value))
                     if key == "class" and not kind:
                         kind = ".".join(sorted(set(words)))
                 elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                     hidden = True
         dropped = tag in DROPPED or hidden
         if not dropped and tag not in ("html", "body", "article", "main") and names:
-            dropped = any(map(BOILERPLATE.match, names)) and not (any(map(GOOD.match, names)) and tag in ("h1", "h2", "p"))
+            marked, article = _judge(values)
+            dropped = marked and not (any(map(GOOD.match, names)) and tag in ("h1", "h2", "p"))
+        doubtful = dropped and tag in CONTAINERS and tag not in DROPPED and not hidden
         heading = dropped and tag == "header" and self._inside("article")
-        e = _Element(tag, self._top, names, dropped and not heading, kind)
+        e = _Element(tag, self._top, names, dropped and not heading and not doubtful, kind)
         e.heading = heading or self._top.heading
         if e.heading and tag not in ("h1", "h2", "h3", "header", "hgroup", "b", "i", "em", "strong", "span", "a") and not self._heading_above():
             e.dropped = True
         self._top = e
         if tag in CONTAINERS and not e.dropped:
             self.containers.append(e)
+            if doubtful:
+                e.doubtful = True
+                self._named.append((e, article))
+            elif tag in ("article", "main") and not _judge(values)[0]:
+                self._articles.append(e)
 
     def _heading_above(self) -> bool:
         e = self._top

@@ -86,3 +86,14 @@ def test_broken_markup():
     for source, want in (("", ""), ("<p>just", "just"), ("plain text", "plain text"), ("<div><p>a<", "a<"), ("<article><header><h1>Head</h1><p>by me</p></header><p>Body</p></article>", "Head\nBody"), ("<!-- x", ""), ("<p>a<!-- b -->c</p>", "ac")):
         assert html.Page(source).extract(None) == want
     assert html.Page("<div>" * 2000 + "deep").extract(None) == "deep"
+
+
+def test_names_of_layout_do_not_drop_the_article():
+    text = "A long line of the article that tells its story. " * 4
+    for opened in ('class="content with-sidebar"', 'id="main" class="no-sidebar"', 'class="post print"', 'class="sidebar-layout"', 'class="print content"'):
+        page = f'<body><div {opened}><article><h2 id="search">Search</h2><p>{text}</p><h3 id="related-work">Related work</h3><p>{text}</p></article></div><div class="sidebar"><p>Popular</p></div></body>'
+        assert html.Page(page).extract(None).split("\n") == ["Search", text.strip(), "Related work", text.strip()], opened
+    plain = f'<body><div class="print content"><p>{text}</p></div><div class="footer content"><p>Site</p></div><div class="comments"><p>{text}</p></div></body>'
+    assert html.Page(plain).extract(None) == text.strip()
+    both = f'<body><main><p>{text}</p></main><div class="sidebar"><article><p>{text} teaser</p></article></div><div id="comments" class="content"><p>x</p></div></body>'
+    assert html.Page(both).extract(None) == text.strip()
