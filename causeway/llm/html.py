@@ -1,12 +1,12 @@
 """Main text of web pages by consensus paths of their hosts (operator 2).
 
-1. Each page is parsed, and every container that could hold the article is scored: the text of its blocks outside boilerplate
-   (menus, headers, footers, sidebars, notices, adverts, forms, comments), less what is inside links. Its path is generalised:
-   tag and class names with digits removed, from the root down.
-2. A task adds up, for each host and path, the share of the page's text that the container holds, and a bonus for
-   article-like names; Spark sums the votes over the host, and the path with the most wins.
-3. Each page is parsed again and its text taken from the containers at the winning path of its host; where the page has none
-   there, or they hold less than a third of what its own best container holds, from the latter.
+1. Each page is parsed, and its article text found: outside boilerplate (menus, headers, footers, sidebars, notices, adverts, forms,
+   comments) and lists of links, what is in a container named as an article, what has a first heading, and what is no mere
+   label (``LABEL`` characters in one container). A path is generalised: tag and class names with digits removed, from the root down.
+2. A page votes for the path of the smallest container that holds all its article text. Spark sums the votes over the host, and the
+   path with the most wins. Paths outside it that have no article text on more than half of the host's pages are furniture.
+3. Each page is parsed again and its text taken from the containers at the winning path of its host; where article text outside of
+   furniture is not in them, from the smallest container that holds all of that.
 
 Defined results: a null page is empty and gives an empty text; so does one without any text outside boilerplate. A null or
 odd URL belongs to the host ``""``. Truncated tags and unclosed elements are read as browsers do: an unclosed element ends
@@ -22,7 +22,7 @@ import re
 from collections import defaultdict
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +45,10 @@ BOILERPLATE = re.compile(
 GOOD = re.compile(r"^(article|main|content|post|entry|story|body|text|page|articlebody|maincontent|postcontent|entrycontent|articlecontent)$")
 #: A name that begins so says what is not there, or is beside: with-sidebar, no-header.
 MODIFIERS = frozenset("with without no not has".split())
+#: Less text than this in a container is a label, not an article, unless names or headings say otherwise.
+LABEL = 40
+#: Names of articles that whole pages have too.
+WIDE = frozenset("page body".split())
 CONTAINERS = frozenset("article main section div td body center blockquote".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -83,15 +87,15 @@ def _words(value: str) -> list[str]:
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "dropped", "link", "text", "linked", "good", "heading", "blocks", "doubtful", "size")
+    __slots__ = ("tag", "parent", "path", "dropped", "link", "linked", "good", "heading", "blocks", "doubtful", "size")
 
     def __init__(self, tag: str, parent: _Element | None, names: list[str], dropped: bool, kind: str):
         self.tag, self.parent = tag, parent
         self.path = (parent.path + "/" if parent else "") + tag + (f".{kind}" if kind else "")
         self.dropped = dropped or bool(parent and parent.dropped)
         self.link = tag == "a" or bool(parent and parent.link)
-        self.good = tag in ("article", "main") or any(map(GOOD.match, names))
-        self.text = self.linked = 0
+        self.good = tag in ("article", "main") or tag not in ("html", "body") and any(GOOD.match(n) and n not in WIDE for n in names)
+        self.linked = 0
         self.heading = self.doubtful = False
         self.size = 0
 
@@ -224,7 +228,7 @@ class Page:
             dropped = marked and not (any(map(GOOD.match, names)) and tag in ("h1", "h2", "p"))
         doubtful = dropped and tag in CONTAINERS and tag not in DROPPED and not hidden
         heading = dropped and tag == "header" and self._inside("article")
-        e = _Element(tag, self._top, names, dropped and not heading and not doubtful, kind)
+        e = _Element(tag, self._top, [w[-1] for v in values for name in v.split() if (w := _words(name))], dropped and not heading and not doubtful, kind)
         e.heading = heading or self._top.heading
         if e.heading and tag not in ("h1", "h2", "h3", "header", "hgroup", "b", "i", "em", "strong", "span", "a") and not self._heading_above():
             e.dropped = True
@@ -277,50 +281,78 @@ class Page:
             self._flush()
         self._top = e.parent
 
-    def score(self) -> list[tuple[_Element, int]]:
-        """Each container with the length of its blocks outside boilerplate, less half of what is in links twice over."""
-        total: dict[_Element, int] = defaultdict(int)
+    def places(self) -> dict[_Element, int]:
+        """The containers that hold article text directly, with its length, less what is in links twice over."""
+        own: dict[_Element, int] = defaultdict(int)
         for e, text in self.blocks:
-            e.text += len(text)
-        seen: set[_Element] = set()
-        for e, _ in self.blocks:
-            if e in seen:
-                continue
-            seen.add(e)
-            up = e
-            while up is not None:
-                total[up] += e.text - 2 * min(e.text, e.linked)
-                up = up.parent
-        return [(c, total[c]) for c in self.containers if total[c] > 0]
-
-    def votes(self) -> list[tuple[str, float]]:
-        """Votes of this page: for each path, the share of the text it holds, and more for a name of an article."""
-        found = self.score()
-        whole = max((s for _, s in found), default=0)
-        out: dict[str, float] = defaultdict(float)
-        for e, s in found:
-            out[e.path] += s / whole
-        good = {e.path: (e.tag in ("article", "main")) * 0.5 + 0.3 * e.good for e, _ in found}
-        return [(path, min(share, 1.0) + good[path] * min(share, 1.0) + 0.01 * min(path.count("/"), 10)) for path, share in out.items()]
-
-    def extract(self, path: str | None) -> str:
-        """The text at ``path``, or of the page's own best container, or of the whole page if it has no container."""
-        found = self.score()
-        if not found:
+            own[e] += len(text)
+        length: dict[_Element, int] = defaultdict(int)
+        heads: set[_Element] = set()
+        for e, n in own.items():
+            c, head = e, False
+            while c.parent is not None and c.tag not in CONTAINERS:
+                head = head or c.tag == "h1"
+                c = c.parent
+            n -= 2 * min(n, e.linked)
+            if n > 0:
+                length[c] += n
+                if head:
+                    heads.add(c)
+        found = {c: n for c, n in length.items() if n >= LABEL or c in heads or self._above(c, lambda e: e.good)}
+        return found or dict(length)
+
+    @staticmethod
+    def _above(e: _Element | None, test) -> bool:
+        while e is not None:
+            if test(e):
+                return True
+            e = e.parent
+        return False
+
+    @staticmethod
+    def _totals(places: dict[_Element, int]) -> dict[str, int]:
+        """The article text at and below each path."""
+        out: dict[str, int] = defaultdict(int)
+        for c, n in places.items():
+            while c is not None:
+                if c.parent is None or c.tag in CONTAINERS:
+                    out[c.path] += n
+                c = c.parent
+        return out
+
+    @staticmethod
+    def _smallest(totals: dict[str, int]) -> str:
+        whole = max(totals.values())
+        return max((path for path, n in totals.items() if n == whole), key=lambda p: (p.count("/"), p))
+
+    def votes(self) -> list[tuple[str, int, int]]:
+        """Of each path of this page, whether it is the page's vote, and whether it has no article text."""
+        totals = self._totals(self.places())
+        if not totals:
+            return []
+        best = self._smallest(totals)
+        return [(path, int(path == best), int(path not in totals)) for path in {best, *(c.path for c in self.containers)}]
+
+    def extract(self, path: str | None, furniture: list[str] | None = None) -> str:
+        """The text at ``path``, or of the smallest container with all article text, or of the whole page if it has no container."""
+        places = self.places()
+        if not self.containers or not places:
             return "\n".join(text for e, text in self.blocks if not e.link)
-        own = max(self.votes(), key=lambda v: (v[1], v[0].count("/"), v[0]))[0]
-        size: dict[str, int] = defaultdict(int)
-        for e, s in found:
-            size[e.path] += s
-        chosen = path if path is not None and 3 * size.get(path, 0) >= size[own] else own
+        spare = frozenset(furniture or ())
+        kept = {c: n for c, n in places.items() if not spare or not self._above(c, lambda e: e.path in spare)}
+        totals = self._totals(kept or places)
+        chosen = path if path is not None and totals.get(path, 0) == max(totals.values()) else self._smallest(totals)
         inside: dict[_Element, bool] = {}
 
         def holds(e: _Element | None) -> bool:
-            if e is None:
-                return False
-            if e not in inside:
-                inside[e] = e.path == chosen and e.tag in CONTAINERS or holds(e.parent)
-            return inside[e]
+            chain = []
+            while e is not None and e not in inside:
+                chain.append(e)
+                e = e.parent
+            out = inside[e] if e is not None else False
+            for x in reversed(chain):
+                out = inside[x] = out or x.path == chosen and (x.parent is None or x.tag in CONTAINERS)
+            return out
 
         return "\n".join(text for e, text in self.blocks if holds(e))
 
@@ -332,22 +364,30 @@ def host(url: Column) -> Column:
 
 
 def consensus(pages: DataFrame) -> DataFrame:
-    """host and the winning path of each host."""
+    """host, the winning path of each host, and the paths of its furniture."""
+    from .common import materialise
 
     def run(batches):
         for batch in batches:
-            sums: dict[tuple[str, str], float] = defaultdict(float)
+            sums: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0])
             for h, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for path, vote in Page(source or "").votes():
-                    sums[h, path] += vote
+                for path, vote, bare in Page(source or "").votes():
+                    own = sums[h, path]
+                    own[0] += vote
+                    own[1] += bare
             if sums:
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums]), pa.array([k[1] for k in sums]), pa.array(list(sums.values()))], ["host", "path", "votes"])
+                columns = [pa.array([k[0] for k in sums]), pa.array([k[1] for k in sums]), *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in (0, 1))]
+                yield pa.RecordBatch.from_arrays(columns, ["host", "path", "votes", "bare"])
 
-    votes = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, votes double")
-    votes = votes.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"))
+    votes = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, votes bigint, bare bigint")
+    votes = materialise(votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("bare").alias("bare")), "votes")
     depth = F.length("path") - F.length(F.replace(F.col("path"), F.lit("/"), F.lit("")))
-    best = votes.groupBy("host").agg(F.max(F.struct("votes", depth.alias("depth"), "path")).alias("best"))
-    return best.select("host", F.col("best.path").alias("path"))
+    best = votes.groupBy("host").agg(F.max(F.struct("votes", depth.alias("depth"), "path")).alias("best"), F.sum("votes").alias("pages"))
+    best = materialise(best.select("host", F.col("best.path").alias("won"), "pages"), "best")
+    # of at most twice as many paths as a page has: each is on more than half of the pages
+    apart = ~F.startswith(F.concat("won", F.lit("/")), F.concat("path", F.lit("/"))) & ~F.startswith(F.concat("path", F.lit("/")), F.concat("won", F.lit("/")))
+    spare = votes.join(best, "host").where((2 * F.col("bare") > F.col("pages")) & apart).groupBy("host").agg(F.collect_list("path").alias("furniture"))
+    return best.join(spare, "host", "left").select("host", F.col("won").alias("path"), "furniture")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -356,11 +396,11 @@ def extract(pages: DataFrame) -> DataFrame:
 
     winners = materialise(consensus(pages), "paths")  # both sides of the join are then plain exchanges, whose hot keys can be split
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html").withColumn("host", host(F.col("url")))
-    rows = rows.join(winners, "host", "left").select("page_id", "url", "html", "path")
+    rows = rows.join(winners, "host", "left").select("page_id", "url", "html", "path", "furniture")
 
     def run(batches):
         for batch in batches:
-            texts = [Page(source or "").extract(path) for source, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            texts = [Page(source or "").extract(path, furniture) for source, path, furniture in zip(*(c.to_pylist() for c in batch.columns[2:]))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")

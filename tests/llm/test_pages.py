@@ -97,3 +97,16 @@ def test_names_of_layout_do_not_drop_the_article():
     assert html.Page(plain).extract(None) == text.strip()
     both = f'<body><main><p>{text}</p></main><div class="sidebar"><article><p>{text} teaser</p></article></div><div id="comments" class="content"><p>x</p></div></body>'
     assert html.Page(both).extract(None) == text.strip()
+
+
+def test_no_article_text_is_lost_to_a_deeper_container(spark):
+    text = "A long line of the article that tells its story. "
+    title = "A title of some sixty characters that belongs to the article"
+    post = [(i, "http://p.example/", f'<body><div class="post"><h1>{title}</h1><div class="content"><p>{text * n}</p></div></div></body>') for i, n in enumerate((5, 300, 400, 500))]
+    wrap = [(10 + i, "http://w.example/", f'<body><div class="wrap"><div class="text"><p>{text * 77}</p></div><div class="rest"><p>{text * 23}</p></div></div></body>') for i in range(4)]
+    usual = [(20 + i, "http://u.example/", f'<body><div class="wrap"><div class="story"><p>{text * 9}</p></div></div></body>') for i in range(4)]
+    more = (30, "http://u.example/", f'<body><div class="wrap"><div class="story"><p>{text * 4}</p></div><div class="second"><p>{text * 8}</p></div></div></body>')
+    out = {r.page_id: r.text.split("\n") for r in html.extract(pages(spark, [*post, *wrap, *usual, more])).collect()}
+    assert all(out[i] == [title, (text * n).strip()] for i, n in enumerate((5, 300, 400, 500)))
+    assert all(out[10 + i] == [(text * 77).strip(), (text * 23).strip()] for i in range(4))
+    assert out[30] == [(text * 4).strip(), (text * 8).strip()] and out[20] == [(text * 9).strip()]
