@@ -8,7 +8,7 @@ Prefixes. Tokens have one global order: rare ones first, then the frequent ones,
 linked pair shares one of them. Otherwise all rare tokens are keys, and frequent tokens count in combinations: they are dealt by
 hash into c classes, and the prefix is extended to t + 1 tokens more than it has classes, so that a linked pair which shares
 no rare key shares two tokens of one class. Every pair of frequent tokens of one class in the prefix is a key. The number c
-grows with the size of the sets (sizes fall into buckets by a factor of 4/3, and a set takes part in its bucket's scheme and the
+grows with the size of the sets (sizes fall into buckets by a factor of 4/3, or 100 / percent if that is more, and a set takes part in its bucket's scheme and the
 next), which keeps the combinations of a set in proportion to its size.
 
 Verification without all pairs. A key's nodes are first compared with one hub, the node of smallest fingerprint, then with
@@ -101,20 +101,26 @@ def missing(n: np.ndarray, percent: int = PERCENT):
     return n + (-percent * n) // 100
 
 
-def _scheme(s: int) -> int:
+def _factor(percent: int) -> float:
+    """The factor between buckets of sizes: linked sets are of one bucket or of two that are next to each other."""
+    return max(4 / 3, 100 / percent)
+
+
+def _scheme(s: int, factor: float = 4 / 3) -> int:
     """The number of classes for sets of buckets s - 1 and s; 0: single tokens."""
-    least = (4 / 3) ** (s - 1)
+    least = factor ** (s - 1)
     return 0 if least < SMALL else max(1, int(least // 8))
 
 
 def _combinations(rare: int, frequent: np.ndarray, n: int, percent: int) -> np.ndarray:
     """Keys of the frequent tokens of a set of n tokens, ``rare`` of which are rare and all in the prefix."""
     lack = int(missing(np.int64(n), percent))
-    bucket = int(np.floor(np.log(n) / np.log(4 / 3) + 1e-9))
+    factor = _factor(percent)
+    bucket = int(np.floor(np.log(n) / np.log(factor) + 1e-9))
     out = []
     for s in (bucket, bucket + 1):
         salt = mix(np.array([s], np.uint64))[0]
-        classes = _scheme(s)
+        classes = _scheme(s, factor)
         if not classes:
             out.append(mix(frequent[: lack + 1 - rare] ^ salt))
             continue

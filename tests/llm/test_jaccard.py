@@ -119,6 +119,16 @@ def test_linked_sets_share_a_key(seed):
     assert tried > 100
 
 
+@pytest.mark.parametrize("percent", [40, 50, 60, 75, 90])
+def test_linked_sets_of_frequent_tokens_share_a_key_at_any_percent(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(300):
+        x = np.unique(rng.integers(0, 2**63, int(rng.integers(20, 300)), dtype=np.uint64))
+        y = np.sort(rng.permutation(x)[: -(-percent * len(x) // 100)])  # as small as a linked set can be
+        a, b = (set(jaccard.prefix_keys(z, np.zeros(len(z), np.int64), np.array([len(z)]), x, percent)[0].tolist()) for z in (x, y))
+        assert a & b
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     labels = dict(map(tuple, jaccard.components(edges).collect()))
