@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import tempfile
 import uuid
 
 import numpy as np
@@ -19,12 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one set here where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session, which is one process, may lack it."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         at = spark.sparkContext.getCheckpointDir()
     if not at:
-        at = f"file:///tmp/causeway-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        at = f"file://{tempfile.mkdtemp(prefix='causeway-')}"
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
@@ -38,7 +41,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes materialised tables that no result still reads."""
+    for df in tables:
+        if path := getattr(df, "written_at", None):
+            context = df.sparkSession.sparkContext
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+            df.written_at = None
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with more underscores if a column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def release(spark: SparkSession) -> None:

@@ -41,14 +41,56 @@ def test_archive_round_trip(spark):
     assert warc.round_trip(pages(spark, [])).collect() == []
 
 
-def test_look_up_by_url(spark, tmp_path, monkeypatch):
-    rows = [(i, f"http://h{i % 7}.example/p{i % 40}", f"<p>{i}</p>") for i in range(900)]
+def test_look_up_by_url(spark, tmp_path):
+    rows = [(i, f"http://h{i % 7}.example/p{i % 40}", f"<p>{i}</p>") for i in range(900)] + [(i, "http://hot.example/", f"<p>{i}</p>") for i in range(900, 1500)]
     uri = f"file://{tmp_path}/archive"
-    directory = warc.write(pages(spark, rows), uri).orderBy("first_key", "archive", "start").select("first_key", "archive", "start", "length")
-    directory = [tuple(r) for r in directory.collect()]
-    for url in ("http://h3.example/p10", "http://h0.example/p0", "http://h6.example/p39", "http://nowhere.example/", "http://h3.example/p99"):
-        found = {r["payload"].decode() for r in warc.look_up(uri, directory, url)}
+    archives = warc.write(pages(spark, rows), uri, block=16)
+    top = warc.top_table(archives)
+    for url in ("http://h3.example/p10", "http://h0.example/p0", "http://h6.example/p39", "http://nowhere.example/", "http://h3.example/p99", "http://hot.example/"):
+        found = {r["payload"].decode() for r in warc.look_up(uri, top, url)}
         assert found == {h for _, u, h in rows if u == url}
+    some = spark.createDataFrame([(warc.url_key(u),) for u in ("http://hot.example/", "http://h3.example/p10", "http://none.example/")], "key string")
+    found = warc.read(archives, uri, some).collect()
+    assert sorted(r.page_id for r in found) == sorted(i for i, u, _ in rows if u in ("http://hot.example/", "http://h3.example/p10"))
+
+
+def test_long_keys_are_found(spark, tmp_path):
+    long = "http://l.example/" + "x" * 400
+    rows = [(i, f"{long}{i:03d}", f"<p>{i}</p>") for i in range(200)]
+    uri = f"file://{tmp_path}/archive"
+    top = warc.top_table(warc.write(pages(spark, rows), uri, block=8))
+    assert all([r["payload"].decode() for r in warc.look_up(uri, top, f"{long}{i:03d}")] == [f"<p>{i}</p>"] for i in (0, 7, 8, 111, 199))
+
+
+def test_a_repeated_task_writes_the_same_bytes(spark, tmp_path):
+    """Files of two attempts may be mixed: they hold the same bytes."""
+    rows = hard_pages()
+    bytes_of = []
+    for attempt in ("a", "b"):
+        archives = warc.write(pages(spark, rows).repartition(1 + len(bytes_of)), f"file://{tmp_path}/{attempt}")
+        names = [r.archive for r in archives.orderBy("first_key").collect()]
+        bytes_of.append([tuple((tmp_path / attempt / f"{n}.{kind}").read_bytes() for kind in ("warc.gz", "cdx", "dir")) for n in names])
+    assert bytes_of[0] == bytes_of[1]
+
+
+def test_records_hold_what_the_format_asks(spark, tmp_path):
+    rows = hard_pages()
+    uri = f"file://{tmp_path}/archive"
+    archives = warc.write(pages(spark, rows), uri)
+    folder, found = warc.Folder(uri), []
+    for name in (r.archive for r in archives.collect()):
+        for first, last, start, length in warc.read_directory(folder, name):
+            keys, places = warc.read_lines(folder, name, start, length)
+            assert keys == sorted(keys) and (first, last) == (keys[0], keys[-1])
+            found += warc.read_captures(folder, name, start, length, sorted(set(keys)))
+    assert len(found) == len(rows)
+    ids = {r["WARC-Record-ID"]: r for r in found}
+    assert len(ids) == len(rows)
+    for r in found:
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "Content-Type"} <= set(r)
+        if r["WARC-Type"] == "revisit":
+            target = ids[r["WARC-Refers-To"]]
+            assert target["WARC-Type"] == "response" and target["WARC-Payload-Digest"] == r["WARC-Payload-Digest"] and target.get("WARC-Target-URI") == r.get("WARC-Refers-To-Target-URI")
 
 
 def test_url_keys():
