@@ -1,11 +1,16 @@
 """Sum-of-squares packing (operator 3).
 
 Documents are tokenised and cut into pieces of at most ``capacity`` tokens. Pieces of one length are interchangeable, so
-the placement is planned on the histogram of lengths, which has at most ``capacity`` entries however large the corpus: piece
-by piece, the plan puts each where the sum over residual gaps of the squared number of open sequences becomes smallest.
-Where there are more pieces than ``ITEMS``, a plan for a fraction of each length's count is repeated, and the remainder is
-planned in turn. The executors then give every piece its rank within its length and look its place up. The plan is a table
-of bounded size (a few times ``ITEMS`` entries); no row of the corpus reaches the driver.
+the placement is planned on the histogram of lengths, which has at most ``capacity`` entries however large the corpus. The plan takes
+the lengths from the longest to the shortest and puts pieces where the sum over residual gaps of the squared number of open
+sequences becomes smallest: into an open sequence, or a new one. It places bundles of equal pieces, a ``RESOLUTION``-th of a
+length's count each (single pieces where there are no more than that), into groups of sequences that are alike; so one plan covers
+every count, its work does not grow with the corpus, and nothing is planned apart. A new sequence is a choice for as long as
+fewer are open than a share of those that the tokens fill; from then on it is opened only where no gap fits. A few shares are
+tried, and the plan of fewest sequences is kept.
+
+The executors then give every piece its rank within its length and look its place up. The plan is a table of bounded size; no
+row of the corpus reaches the driver.
 
 Defined results: a null text counts as empty and gives one piece, the closing id alone. Repeated rows and ids are packed
 each by itself. Very long texts give many pieces, all but the first of full length. An empty table gives no rows.
@@ -26,8 +31,10 @@ from . import common
 from .bpe import Encoder, added_tokens, json_vocabulary, kept, special_pattern
 
 CAPACITY, CLOSING = 1024, 2
-#: Pieces that one run of the planner places.
-ITEMS = 131_072
+#: Bundles into which the pieces of one length are dealt.
+RESOLUTION = 256
+#: Shares of the sequences that the tokens fill, up to which a new one may be opened though a gap fits.
+SHARES = (0.95, 0.99, 1.0)
 
 
 def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, closing: int = CLOSING) -> DataFrame:
@@ -62,87 +69,61 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, closing: int = CLO
     return rows.mapInArrow(run, "rid bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
-def sum_of_squares(lengths: np.ndarray, capacity: int, eager: bool) -> tuple[np.ndarray, np.ndarray, int]:
-    """The sequence and offset of each piece, placed in the given order, and the number of sequences.
+def sum_of_squares(histogram: dict[int, int], capacity: int = CAPACITY, most: float = float("inf"), resolution: int = RESOLUTION) -> tuple[np.ndarray, int]:
+    """Rows (length, first, base, offset, count) and the number of sequences: pieces ``first`` to ``first + count - 1`` of ``length`` go at
+    ``offset`` of the sequences ``base`` and following, one each.
 
     With N(g) open sequences of gap g, a piece of length s goes into a gap g >= s or a new sequence, whichever changes the
-    sum of N(g)**2 least; of equal choices into the smallest gap. ``eager``: a new sequence only where no gap fits.
+    sum of N(g)**2 least; of equal choices into an open one, of smallest gap. With ``most`` sequences open, a new one is opened only
+    where no gap fits.
     """
     twice = np.zeros(capacity + 1, np.int64)  # 2 N(g); at gap 0, which isn't open, the constant that the algebra leaves
     twice[0] = -1
-    open_at: list[list[int]] = [[] for _ in range(capacity + 1)]
-    sequence, offset, made = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64), 0
-    for i, s in enumerate(lengths.tolist()):
-        at = capacity
-        if s < capacity:
-            here = twice[s:capacity]
-            change = np.where(here > 0, twice[: capacity - s] - here + 2, 1 << 60)
-            best = int(change.argmin())
-            least = int(change[best])
-            if least < 1 << 60 and (eager or least <= twice[capacity - s] + 1):
-                at = s + best
-        if at < capacity:
-            k = open_at[at].pop()
-            twice[at] -= 2
-        else:
-            k = made
-            made += 1
-        sequence[i], offset[i] = k, capacity - at
-        if at > s:
-            open_at[at - s].append(k)
-            twice[at - s] += 2
-    return sequence, offset, made
-
-
-def _orders(lengths: np.ndarray):
-    yield lengths[::-1], True
-    yield lengths[::-1], False
-    yield np.random.default_rng(0).permutation(lengths), False
-
-
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, items: int = ITEMS) -> dict[str, np.ndarray]:
-    """Runs of ranks: pieces ``first`` to ``first + f - 1`` of ``length`` go at ``offset`` of sequences ``base`` and following.
-
-    Each run of the planner keeps the best of three orders of the same pieces (longest first, with and without opening a
-    sequence early, and a fixed shuffle).
-    """
-    size = np.array(sorted(histogram), np.int64)
-    left = np.array([histogram[s] for s in size.tolist()], np.int64)
-    rank = np.zeros(len(size), np.int64)
-    out: dict[str, list] = {"length": [], "first": [], "base": [], "offset": []}
-    sequences = 0
-    while left.sum():
-        times = max(1, -(-int(left.sum()) // items))
-        part = left // times
-        if not part.sum():
-            times, part = 1, left.copy()
-        index = np.repeat(np.arange(len(size)), part)
-        best = None
-        for order, eager in _orders(index):
-            seq, off, made = sum_of_squares(size[order], capacity, eager)
-            if best is None or made < best[3]:
-                best = order, seq, off, made
-        order, seq, off, made = best
-        by_size = np.argsort(order, kind="stable")
-        nth = np.arange(len(order)) - np.repeat(np.cumsum(part) - part, part)
-        index = order[by_size]
-        out["length"].append(size[index])
-        out["first"].append(rank[index] + nth * times)
-        out["base"].append(sequences + seq[by_size] * times)
-        out["offset"].append(off[by_size])
-        rank += part * times
-        left -= part * times
-        sequences += made * times
-    table = {k: np.concatenate(v) if v else np.empty(0, np.int64) for k, v in out.items()}
-    by = np.lexsort((table["first"], table["length"]))
-    return {k: v[by] for k, v in table.items()} | {"sequences": np.array([sequences])}
-
-
-def place(pieces: DataFrame, capacity: int = CAPACITY, items: int = ITEMS) -> DataFrame:
+    alike: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # of each gap, groups (base, count) of sequences
+    rows, made = [], 0
+    for s in sorted(histogram, reverse=True):
+        left = histogram[s]
+        bundle = left if s == capacity else -(-left // resolution)
+        first = 0
+        while left:
+            k, at = min(bundle, left), capacity
+            if s < capacity:
+                here = twice[s:capacity]
+                change = np.where(here > 0, twice[: capacity - s] - here + 2, 1 << 60)
+                best = int(change.argmin())
+                least = int(change[best])
+                if least < 1 << 60 and (made >= most or least <= twice[capacity - s] + 1):
+                    at = s + best
+            if at < capacity:
+                base, count = alike[at].pop()
+                k = min(k, count)
+                if count > k:
+                    alike[at].append((base + k, count - k))
+                twice[at] -= 2 * k
+            else:
+                base, made = made, made + k
+            rows.append((s, first, base, capacity - at, k))
+            if at > s:
+                alike[at - s].append((base, k))
+                twice[at - s] += 2 * k
+            first += k
+            left -= k
+    return np.array(rows, np.int64).reshape(-1, 5), made
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, resolution: int = RESOLUTION) -> dict[str, np.ndarray]:
+    """The rows of the best of the plans with ``SHARES``, by length and first rank, and the number of sequences."""
+    filled = -(-sum(s * n for s, n in histogram.items()) // capacity)
+    rows, made = min((sum_of_squares(histogram, capacity, share * filled, resolution) for share in SHARES), key=lambda found: found[1])
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    return {name: rows[:, k] for k, name in enumerate(("length", "first", "base", "offset"))} | {"sequences": np.array([made])}
+
+
+def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (a table already written, with rid, piece and length) with sequence_id and offset."""
     spark = pieces.sparkSession
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    table = spark.sparkContext.broadcast(plan(histogram, capacity, items))
+    table = spark.sparkContext.broadcast(plan(histogram, capacity))
     salted = pieces.withColumn("salt", F.expr(f"pmod(xxhash64(rid, piece), {4 * common.partitions(spark)})"))
     group = Window.partitionBy("length", "salt")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
