@@ -1,7 +1,9 @@
 """Byte-level BPE encoding and decoding (operator 8), and the merge engine that other operators share.
 
-Pre-tokens come from :mod:`pretok`; each distinct pre-token is merged once per worker and kept in a bounded cache. An
-encoded text keeps, beside its ids, the byte offset at which each id starts, so that spans of ids map back to the text.
+Pre-tokens come from :mod:`pretok`; each distinct pre-token is merged once per worker and kept in a bounded cache. New pre-tokens are
+merged together: a round joins the pair of least rank of every unfinished one, all in numpy; a long one is merged alone,
+with a heap. An encoded text keeps, beside its ids, the byte offset at which each id starts, so that spans of ids map back to the
+text; decoding writes the bytes of each id at its offset.
 
 Defined results: a null text counts as empty; an empty text has no ids, the digest of the empty string, and decodes to
 no bytes. Each row is encoded by itself: repeated rows and repeated ids give repeated results; a null id stays null.
@@ -15,13 +17,13 @@ import hashlib
 import json
 import re
 from functools import lru_cache
-from itertools import accumulate, chain
+from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from tiktoken._tiktoken import CoreBPE
 
 from . import common, pretok
 
@@ -29,21 +31,116 @@ from . import common, pretok
 CACHE = 200_000
 
 
-class Vocabulary:
-    """Ranks of byte strings; the rank is also the id and the priority of a merge."""
+#: Bytes up to which pre-tokens are merged side by side; longer ones are merged one by one.
+LONG = 64
+_NONE = 1 << 40
+
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
-        #: Merges the bytes of one pre-token: the adjacent pair of least rank first, the leftmost of equals.
-        self.merge = CoreBPE(ranks, {}, public_tokenizers.PATTERN).encode_single_piece
+class Vocabulary:
+    """Tokens by id, and for each pair of ids that merges, the id it becomes, which is also the pair's priority."""
+
+    def __init__(self, tokens: dict[bytes, int], pairs: dict[int, int], whole: bool):
+        """``pairs``: merged id by ``left << 32 | right``; ``whole``: a pre-token that is a token is not merged at all."""
+        self.bytes_of = [b""] * (max(tokens.values()) + 1)
+        for token, i in tokens.items():
+            self.bytes_of[i] = token
+        self.size = np.array([len(t) for t in self.bytes_of], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.whole = tokens if whole else {}
+        self.pairs = pairs
+        self._byte = np.array([tokens[bytes([i])] for i in range(256)], np.int64)
+        self._keys = np.array(sorted(pairs), np.int64)
+        self._ids = np.array([pairs[k] for k in self._keys.tolist()], np.int64)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = left << 32 | right
+        at = np.minimum(np.searchsorted(self._keys, wanted), len(self._keys) - 1)
+        return np.where(self._keys[at] == wanted, self._ids[at], _NONE)
+
+    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of pre-tokens: of each, the adjacent pair of least rank is joined first, the leftmost of equals."""
+        out: list = [None] * len(pieces)
+        side = []
+        for i, piece in enumerate(pieces):
+            if (own := self.whole.get(piece)) is not None:
+                out[i] = (own,)
+            elif len(piece) > LONG:
+                out[i] = self._merge_long(piece)
+            elif piece:
+                side.append(i)
+            else:
+                out[i] = ()
+        if side:
+            self._merge_side_by_side(pieces, side, out)
+        return out
+
+    def _merge_side_by_side(self, pieces: list[bytes], side: list[int], out: list) -> None:
+        ids = self._byte[np.frombuffer(b"".join([pieces[i] for i in side]), np.uint8)]
+        of = np.repeat(np.array(side), [len(pieces[i]) for i in side])
+        rank = np.full(len(ids), _NONE)
+        inner = np.flatnonzero(of[:-1] == of[1:])
+        rank[inner] = self._rank(ids[inner], ids[inner + 1])
+        while len(ids):
+            begin = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            size = np.diff(np.append(begin, len(ids)))
+            least = np.minimum.reduceat(rank, begin)
+            done = least == _NONE
+            if done.any():
+                gone = np.repeat(done, size)
+                own, ends = ids[gone].tolist(), np.cumsum(size[done]).tolist()
+                for i, a, b in zip(of[begin[done]].tolist(), [0, *ends], ends):
+                    out[i] = tuple(own[a:b])
+                ids, of, rank, size, least = ids[~gone], of[~gone], rank[~gone], size[~done], least[~done]
+                if not len(ids):
+                    return
+            at = np.flatnonzero(rank == np.repeat(least, size))
+            at = at[np.concatenate([[True], of[at[1:]] != of[at[:-1]]])]  # the leftmost of each
+            ids[at] = rank[at]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            at -= np.arange(len(at))
+            ids, of, rank = ids[keep], of[keep], rank[keep]
+            rank[at] = _NONE
+            stale = np.concatenate([at, at[at > 0] - 1])
+            stale = stale[stale + 1 < len(ids)]
+            stale = stale[of[stale] == of[stale + 1]]
+            rank[stale] = self._rank(ids[stale], ids[stale + 1])
+
+    def _merge_long(self, piece: bytes) -> tuple[int, ...]:
+        ids, pairs = self._byte[np.frombuffer(piece, np.uint8)].tolist(), self.pairs
+        n = len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := pairs.get(ids[i] << 32 | ids[i + 1])) is not None]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            if ids[i] is None or j >= n or pairs.get(ids[i] << 32 | ids[j]) != rank:
+                continue  # one of the pair has been joined with another
+            ids[i], ids[j] = rank, None
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (r := pairs.get(rank << 32 | ids[k])) is not None:
+                    heappush(heap, (r, i))
+            if (h := before[i]) >= 0 and (r := pairs.get(ids[h] << 32 | rank)) is not None:
+                heappush(heap, (r, h))
+        return tuple(i for i in ids if i is not None)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The bytes of ids that start at ``offsets``."""
+        size = self.size[ids]
+        return self.flat[np.repeat(self.start[ids] - offsets, size) + np.arange(int(size.sum()))]
 
 
 @lru_cache(2)
 def tiktoken_vocabulary(path: str) -> Vocabulary:
+    """The vocabulary of a file of ranks: any two tokens merge whose bytes together are a token."""
     with open(path, "rb") as lines:
-        return Vocabulary({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    pairs = {a << 32 | b: rank for token, rank in ranks.items() for k in range(1, len(token)) if (a := ranks.get(token[:k])) is not None and (b := ranks.get(token[k:])) is not None}
+    return Vocabulary(ranks, pairs, whole=True)
 
 
 @lru_cache(2)
@@ -53,10 +150,12 @@ def json_vocabulary(path: str) -> Vocabulary:
         model = json.load(file)["model"]
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
-    ids = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    vocab, merges = model["vocab"], [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    ids = [vocab["".join(m)] for m in merges]
     if any(a >= b for a, b in zip(ids, ids[1:])):
         raise ValueError(f"{path}: the order of the merges differs from the order of the ids")
-    return Vocabulary({bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if all(c in byte_of for c in token)})
+    pairs = {vocab[a] << 32 | vocab[b]: i for (a, b), i in zip(merges, ids)}
+    return Vocabulary({bytes(byte_of[c] for c in token): i for token, i in vocab.items() if all(c in byte_of for c in token)}, pairs, bool(model.get("ignore_merges")))
 
 
 @lru_cache(2)
@@ -100,10 +199,14 @@ class Encoder:
     def pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list, list[int]]:
         """A value per pre-token, and where each text's pre-tokens begin and end."""
         pieces, bounds = pieces_of(data, offsets, self.special)
-        young, old, merge, make = self.young, self.old, self.vocabulary.merge, self.make
+        young, old, make = self.young, self.old, self.make
+        new = []
         for piece in set(pieces).difference(young):
-            value = old.get(piece)
-            young[piece] = make(merge(piece.encode())) if value is None else value
+            if (value := old.get(piece)) is None:
+                new.append(piece)
+            else:
+                young[piece] = value
+        young.update(zip(new, map(make, self.vocabulary.merge([piece.encode() for piece in new]))))
         found = list(map(young.__getitem__, pieces))
         if len(young) > CACHE:
             self.young, self.old = dict(self.added), young
@@ -127,68 +230,65 @@ def kept(key, make):
     return _kept[key]
 
 
+def encoded(enc: Encoder, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of all texts of a chunk, the byte of the chunk at which each id starts, and where each text's ids begin and end."""
+    found, bounds = enc.pieces(data, offsets)
+    ids = np.fromiter(chain.from_iterable(found), np.int64)
+    size = enc.vocabulary.size[ids]
+    places = np.cumsum(size) - size
+    return ids, places, np.searchsorted(places, offsets)
+
+
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``ids`` array<int>, and ``offsets`` array<int>, the byte at which each id starts in the text."""
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
     def run(batches):
         enc = kept(("ids", path), lambda: Encoder(tiktoken_vocabulary(path)))
-        bytes_of = enc.vocabulary.bytes_of
         for batch in batches:
             for i, data, offsets in common.text_chunks(batch.column(1)):
-                ids, places = [], []
-                for found in enc.texts(data, offsets):
-                    ids.append(own := list(chain.from_iterable(found)))
-                    places.append([0, *accumulate(len(bytes_of[k]) for k in own)][:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, len(ids)), pa.array(ids, pa.list_(pa.int32())), pa.array(places, pa.list_(pa.int32()))], [id_col, "ids", "offsets"]
-                )
+                ids, places, bounds = encoded(enc, data, offsets)
+                places = places - np.repeat(offsets[:-1], np.diff(bounds))
+                at = pa.array(bounds, pa.int32())
+                lists = [pa.ListArray.from_arrays(at, pa.array(x, pa.int32())) for x in (ids, places)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(offsets) - 1), *lists], [id_col, "ids", "offsets"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, offsets array<int>")
 
 
-def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id") -> DataFrame:
-    """Per row: the id and the decoded ``bytes``. Null ids decode to no bytes."""
+def decode(rows: DataFrame, path: str | None = None, id_col: str = "doc_id") -> DataFrame:
+    """Per row of ids and offsets: the id and the decoded ``bytes``. Null ids decode to no bytes."""
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
     def run(batches):
-        bytes_of = tiktoken_vocabulary(path).bytes_of
+        vocabulary = tiktoken_vocabulary(path)
         for batch in batches:
-            out = [b"".join([bytes_of[i] for i in ids or ()]) for ids in batch.column(1).to_pylist()]
+            pairs = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            out = [vocabulary.decode(np.array(ids or (), np.int64), np.array(offsets or (), np.int64)).tobytes() for ids, offsets in pairs]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], [id_col, "bytes"])
 
-    kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, bytes binary")
+    kind = rows.schema[id_col].dataType.simpleString()
+    return rows.select(id_col, "ids", "offsets").mapInArrow(run, f"`{id_col}` {kind}, bytes binary")
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per row: number and digest of the ids, and the digest of what the ids decode to, in one pass over the texts.
-
-    Written and decoded ids are kept with the pre-token they come from, so each distinct pre-token is merged, written and
-    decoded once while it stays in the cache.
-    """
+    """Per row: number and digest of the ids, and the digest of the bytes that ids and offsets decode to, in one pass over the texts."""
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
-    def make():
-        vocabulary = tiktoken_vocabulary(path)
-        bytes_of = vocabulary.bytes_of
-        return Encoder(vocabulary, lambda ids: (len(ids), ",".join(map(str, ids)), b"".join([bytes_of[i] for i in ids])))
-
     def run(batches):
-        enc = kept(("round trip", path), make)
+        enc = kept(("ids", path), lambda: Encoder(tiktoken_vocabulary(path)))
+        written = list(map(str, range(len(enc.vocabulary.bytes_of))))
         sha = hashlib.sha256
         for batch in batches:
             for i, data, offsets in common.text_chunks(batch.column(1)):
-                counts, ids_sha, decoded_sha = [], [], []
-                for found in enc.texts(data, offsets):
-                    n, ids, decoded = zip(*found) if found else ((), (), ())
-                    counts.append(sum(n))
-                    ids_sha.append(sha(",".join(ids).encode()).hexdigest())
-                    decoded_sha.append(sha(b"".join(decoded)).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, len(counts)), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(decoded_sha)],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                ids, places, bounds = encoded(enc, data, offsets)
+                back = enc.vocabulary.decode(ids, places)
+                bounds, flat = bounds.tolist(), ids.tolist()
+                ends = np.append(places, len(back))[bounds].tolist()
+                ids_sha = [sha(",".join(map(written.__getitem__, flat[a:b])).encode()).hexdigest() for a, b in zip(bounds, bounds[1:])]
+                decoded_sha = [sha(back[a:b]).hexdigest() for a, b in zip(ends, ends[1:])]
+                columns = [batch.column(0).slice(i, len(ids_sha)), pa.array(np.diff(bounds).astype(np.int64)), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
