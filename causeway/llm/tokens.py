@@ -1,11 +1,12 @@
 """Token counts (operator 4): pieces are counted once per distinct pre-token and joined to per-document frequencies.
 
 1. A task cuts its texts into pre-tokens and counts them per document. Frequent pre-tokens (a table of at most ``HOT``
-   entries, so a broadcast of bounded size) are summed at once; they are what would make a skewed key.
-2. The other (pre-token, document, frequency) rows are hash-partitioned by pre-token. Each partition counts the pieces of
-   each of its distinct pre-tokens once, with the tokenizer library, and multiplies: a partitioned hash join whose build
-   side is derived from the co-partitioned keys. Token ids are never kept.
-3. Partial sums per row key are added up.
+   entries of at most ``WIDE`` characters, so a broadcast of bounded size) are joined at once and summed: they are what would make
+   a skewed key. The other (pre-token, document, frequency) rows are written.
+2. The distinct pre-tokens of those rows are counted, each once, with the tokenizer library: a table (pre-token, number of pieces).
+3. That table is joined to the rows by pre-token, and the products are summed per document. Token ids are never kept.
+
+Row keys are made while the rows are written and read back from there, so a repeated task can't change them.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens, not over the limit). Each row is counted by itself, so
 repeated rows and ids give repeated results; a null id stays null. Very long texts are counted whole. An empty table gives
@@ -28,12 +29,14 @@ from .bpe import pieces_of, special_pattern
 
 #: Entries of the table of frequent pre-tokens, and documents from which it is chosen. It changes speed only.
 HOT, SAMPLE = 131_072, 8_000
+#: Characters of a pre-token in that table, and pre-tokens that the library gets in one call.
+WIDE, CALL = 64, 20_000
 
 
 class PieceCounter:
-    """Numbers of pieces by the library, one call for many pre-tokens; kept for as long as the task lasts."""
+    """Numbers of pieces of many strings, by the library."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if path.endswith(".json"):
             from tokenizers import Tokenizer
@@ -47,14 +50,9 @@ class PieceCounter:
 
             processor = SentencePieceProcessor(model_file=path)
             self._count = lambda texts: [len(x) for x in processor.encode(texts, num_threads=1)]
-        self.known, self.most = {}, most
 
     def __call__(self, keys: list[str]) -> np.ndarray:
-        if len(self.known) > self.most:
-            self.known = {}
-        if new := [k for k in dict.fromkeys(keys) if k not in self.known]:
-            self.known.update(zip(new, self._count(new)))
-        return np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        return np.array([n for i in range(0, len(keys), CALL) for n in self._count(keys[i : i + CALL])], np.int64)
 
 
 def frequent(docs: DataFrame, path: str, hot: int = HOT, sample: int = SAMPLE) -> dict[str, int]:
@@ -72,25 +70,18 @@ def frequent(docs: DataFrame, path: str, hot: int = HOT, sample: int = SAMPLE) -
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["piece", "n"])
 
     some = docs.where(F.expr(f"pmod(xxhash64(doc_id), {max(1, rows // sample)}) = 0")).select("text")
-    top = some.mapInArrow(run, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1")
+    top = some.mapInArrow(run, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n")).where((F.col("n") > 1) & (F.length("piece") <= WIDE))
     keys = [r[0] for r in top.orderBy(F.desc("n"), "piece").limit(hot).collect()]
     return dict(zip(keys, PieceCounter(path)(keys).tolist()))
 
 
-def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(at, values, len(keys)).astype(np.int64)
-
-
-def count_by_pretoken(docs: DataFrame, path: str, limit: int = 512, hot: int = HOT) -> DataFrame:
-    """Counts under a tokenizer that splits texts by the byte-level pattern (a .json file)."""
-    spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(frequent(docs, path, hot))
-    special = special_pattern(path)
+def frequencies(docs: DataFrame, known: dict[str, int], special) -> DataFrame:
+    """Written rows: per document its key (rid), doc_id, n_bytes and n, the tokens of its pre-tokens in ``known``; per other pre-token of a
+    document the piece, the document's key and n, how often it is there."""
+    table = docs.sparkSession.sparkContext.broadcast(known)
     names = ["piece", "rid", "n", "doc_id", "n_bytes"]
 
-    def frequencies(batches):
-        """A row per document (piece null, n the tokens of its frequent pre-tokens) and per other pre-token of it."""
+    def run(batches):
         known = table.value
         for batch in batches:
             ids, rids = batch.column(0), batch.column(1).to_numpy()
@@ -98,7 +89,7 @@ def count_by_pretoken(docs: DataFrame, path: str, limit: int = 512, hot: int = H
                 pieces, bounds = pieces_of(data, offsets, special)
                 bounds = bounds.tolist()
                 rest, owner, freq, sums = [], [], [], []
-                for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                for a, b in zip(bounds, bounds[1:]):
                     total, before = 0, len(rest)
                     for piece, n in Counter(pieces[a:b]).items():
                         if (tokens := known.get(piece)) is not None:
@@ -115,37 +106,30 @@ def count_by_pretoken(docs: DataFrame, path: str, limit: int = 512, hot: int = H
                     m = len(rest)
                     yield pa.RecordBatch.from_arrays([pa.array(rest, pa.string()), pa.array(np.repeat(rid, owner)), pa.array(freq, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], names)
 
-    def count(batches):
-        """Partial sums per row key: each distinct pre-token of the partition is counted once."""
-        pieces = PieceCounter(path)
-        keys, sums, size = [], [], 0
+    keyed = common.with_row_key(docs.select("doc_id", "text")).select(F.col("doc_id").cast("bigint"), "rid", "text")
+    return common.materialise(keyed.mapInArrow(run, "piece string, rid bigint, n bigint, doc_id bigint, n_bytes bigint"), "frequencies")
 
-        def out():
-            k, v = _sums(np.concatenate(keys), np.concatenate(sums))
-            return pa.RecordBatch.from_arrays([pa.array(k), pa.nulls(len(k), pa.int64()), pa.nulls(len(k), pa.int64()), pa.array(v)], ["rid", "doc_id", "n_bytes", "n"])
 
+def counted(pieces: DataFrame, path: str) -> DataFrame:
+    """piece and tokens of a table of distinct pre-tokens."""
+
+    def run(batches):
+        count = PieceCounter(path)
         for batch in batches:
-            of_doc = batch.column(0).is_null().to_numpy(zero_copy_only=False)
-            own = batch.filter(pa.array(of_doc))
-            if len(own):
-                yield pa.RecordBatch.from_arrays([own.column(1), own.column(3), own.column(4), own.column(2)], ["rid", "doc_id", "n_bytes", "n"])
-            rest = batch.filter(pa.array(~of_doc))
-            if len(rest):
-                code = rest.column(0).dictionary_encode()
-                n = pieces(code.dictionary.to_pylist())[code.indices.to_numpy()]
-                keys.append(rest.column(1).to_numpy())
-                sums.append(n * rest.column(2).to_numpy())
-                size += len(rest)
-                if size > 1_000_000:
-                    yield out()
-                    keys, sums, size = [], [], 0
-        if size:
-            yield out()
-
-    rows = common.with_row_key(docs.select("doc_id", "text")).select(F.col("doc_id").cast("bigint"), "rid", "text").mapInArrow(frequencies, "piece string, rid bigint, n bigint, doc_id bigint, n_bytes bigint")
-    dealt = rows.repartition(common.partitions(spark), F.when(F.col("piece").isNull(), F.xxhash64("rid")).otherwise(F.xxhash64("piece")))
-    parts = dealt.mapInArrow(count, "rid bigint, doc_id bigint, n_bytes bigint, n bigint")
-    total = parts.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count(batch.column(0).to_pylist()))], ["piece", "tokens"])
+
+    return pieces.mapInArrow(run, "piece string, tokens bigint")
+
+
+def count_by_pretoken(docs: DataFrame, path: str, limit: int = 512, hot: int = HOT) -> DataFrame:
+    """Counts under a tokenizer that splits texts by the byte-level pattern (a .json file)."""
+    rows = frequencies(docs, frequent(docs, path, hot), special_pattern(path))
+    other = rows.where("piece is not null").select("piece", "rid", "n")
+    tokens = common.materialise(counted(other.select("piece").distinct(), path), "pieces")
+    # every side is a written table, so the exchanges of the join are plain and a hot pre-token's can be split
+    products = other.join(tokens, "piece").select("rid", (F.col("n") * F.col("tokens")).alias("n_tokens"), F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("n_bytes"))
+    own = rows.where("piece is null").select("rid", F.col("n").alias("n_tokens"), "doc_id", "n_bytes")
+    total = own.unionByName(products).groupBy("rid").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
     return total.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
@@ -153,7 +137,7 @@ def count_whole(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     """Counts under a tokenizer whose pieces cross blanks (a .model file): it has no pre-tokens, so each text is encoded once."""
 
     def run(batches):
-        counter = PieceCounter(path, most=0)
+        counter = PieceCounter(path)
         for batch in batches:
             text = batch.column(1).fill_null("").to_pylist()
             for i in range(0, len(text), 64):

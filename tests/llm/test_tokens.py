@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 import pyarrow as pa
 import regex
 import tiktoken
@@ -110,11 +111,12 @@ def test_packing_holds_every_document(spark):
     assert packing.pack(frame(spark, [])).collect() == []
 
 
-def test_plan_repeats_and_stays_dense():
+@pytest.mark.parametrize("resolution", [1, 7, 1 << 40])
+def test_plan_is_dense_at_every_resolution(resolution):
     rng = np.random.default_rng(0)
     sizes, counts = np.unique(np.clip(rng.lognormal(5, 1, 30_000).astype(int), 1, 1024), return_counts=True)
     histogram = dict(zip(sizes.tolist(), counts.tolist()))
-    table = packing.plan(histogram, items=2000)
+    table = packing.plan(histogram, resolution=resolution)
     used = defaultdict(list)
     for s in histogram:
         own = table["length"] == s
@@ -129,24 +131,54 @@ def test_plan_repeats_and_stays_dense():
             assert off == at
             at += s
         assert at <= 1024
-    assert len(used) <= 1.02 * sum(s * n for s, n in histogram.items()) / 1024
+    assert len(used) == table["sequences"][0]
+    if resolution > 1:
+        assert len(used) <= 1.01 * sum(s * n for s, n in histogram.items()) / 1024
+
+
+def test_work_and_density_do_not_depend_on_the_count():
+    rng = np.random.default_rng(3)
+    sizes, counts = np.unique(np.clip(rng.lognormal(5, 1, 30_000).astype(int), 1, 1024), return_counts=True)
+    least = sum((sizes * counts).tolist()) / 1024
+    for times in (100, 1_000_000):
+        table = packing.plan({s: n * times for s, n in zip(sizes.tolist(), counts.tolist())})
+        assert len(table["length"]) < 400_000 and table["sequences"][0] <= 1.01 * times * least
+
+
 
 
 def test_sum_of_squares_follows_its_rule():
-    lengths = np.random.default_rng(1).integers(1, 20, 200)
-    seq, off, made = packing.sum_of_squares(lengths, 20, eager=False)
-    gaps = {}
-    for s, k, o in zip(lengths.tolist(), seq.tolist(), off.tolist()):
-        count = lambda: sum(v * v for v in np.unique([g for g in gaps.values() if g], return_counts=True)[1])
-        options = []
-        for b in [*gaps, None]:
-            before = gaps.get(b, 20)
-            if before >= s and (b is None or before > 0):
-                gaps["try" if b is None else b] = before - s
-                options.append(count())
-                if b is None:
-                    del gaps["try"]
-                else:
-                    gaps[b] = before
-        gaps[k] = gaps.get(k, 20) - s
-        assert count() == min(options)
+    """Single pieces against the rule itself: recomputed sums for every open sequence and a new one."""
+    sizes, counts = np.unique(np.random.default_rng(1).integers(1, 20, 200), return_counts=True)
+    for most in (0, 30, float("inf")):
+        rows, made = packing.sum_of_squares(dict(zip(sizes.tolist(), counts.tolist())), 20, most)
+        gaps = {}
+
+        def total(changed, gap, gaps=gaps):
+            left = [g for b, g in (gaps | {changed: gap}).items() if g]
+            return sum(v * v for v in np.unique(left, return_counts=True)[1])
+
+        assert [r[0] for r in rows.tolist()] == sorted(np.repeat(sizes, counts).tolist(), reverse=True)
+        for s, _, k, offset, n in rows.tolist():
+            assert n == 1 and offset == 20 - gaps.get(k, 20)
+            options = {b: total(b, g - s) for b, g in gaps.items() if g >= s}
+            if not options or len(gaps) < most:
+                options[None] = total(None, 20 - s)
+            assert total(k, gaps.get(k, 20) - s) == min(options.values())
+            gaps[k] = gaps.get(k, 20) - s
+        assert made == len(gaps)
+
+
+def test_merging_equals_the_library():
+    vocabulary = bpe.tiktoken_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks={b: i for i, b in enumerate(vocabulary.bytes_of)}, special_tokens={})
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("abetin  sho日é") for _ in range(rnd.randint(0, 90))) for _ in range(3000)] + ["a" * 3000, "ab" * 900, " the" * 400, "", "e"]
+    assert [list(x) for x in vocabulary.merge([t.encode() for t in texts])] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_words_of_the_library_are_merged_alike():
+    vocabulary, library = bpe.json_vocabulary(JSON), Tokenizer.from_file(JSON)
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("abetinshorldcqü") for _ in range(rnd.randint(1, 90))) for _ in range(3000)]
+    assert [list(x) for x in vocabulary.merge([w.encode() for w in words])] == [library.encode(w, add_special_tokens=False).ids for w in words]
