@@ -10,8 +10,8 @@ hash signs ``\\h``, the end mark ``\\e`` and, in roles, a colon ``\\c``, so no t
 
 Defined results: null texts and roles count as empty. Messages of one turn number are ordered by role and text, null turns
 first; repeated rows stay repeated turns. A message whose parent doesn't exist is a root; equal scores rank by message.
-A null tree id is a tree of its own. Messages in a cycle are on no path from a root, and raise an error. Very long texts
-are kept whole. An empty table gives no rows. Other columns, whatever their names, are ignored.
+A null tree id is a tree of its own. Messages in a cycle, or below one, are on no path from a root: no branch holds them, and
+``cyclic`` lists them; the other messages of their tree are formatted as ever. Very long texts are kept whole. An empty table gives no rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -45,30 +45,39 @@ def _same(a: str, b: str, left: str, right: str) -> Column:
     return F.col(f"{a}.tree").eqNullSafe(F.col(f"{b}.tree")) & (F.col(f"{a}.{left}") == F.col(f"{b}.{right}"))
 
 
-def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """For k = 0, 1, ... the messages that have an ancestor 2**k steps above: tree, node and up, that ancestor; and for all messages
-    total and depth up to the root. A step joins only the messages that have not reached their root yet."""
+def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame, DataFrame]:
+    """For k = 0, 1, ... the messages that have an ancestor 2**k steps above: tree, node and up, that ancestor; for the messages below a
+    root, total and depth up to it; and tree and node of those that no root is above.
+
+    A step joins only the messages that have not reached their root yet. A message that has not after as many steps as the largest
+    tree has messages never will.
+    """
+    most = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     known = nodes.select("tree", "node")
     first = nodes.alias("a").join(known.alias("b"), _same("a", "b", "parent", "node"), "left")
     first = first.select("a.tree", "a.node", F.col("b.node").alias("up"), F.coalesce("a.score", F.lit(0.0)).alias("total"), F.lit(1).cast("bigint").alias("depth"))
     first = materialise(first, "jump")
     done, rest = first.where("up is null"), first.where("up is not null")
-    out = [rest]
-    while (deepest := rest.agg(F.max("depth")).first()[0]) is not None:
-        if deepest > 1 << 40:
-            raise ValueError("some messages are their own ancestors")
+    out, reached = [rest], 1
+    while reached < most and not rest.isEmpty():
+        reached *= 2
         longer = rest.alias("a").join(done.unionByName(rest).alias("b"), _same("a", "b", "up", "node"), "left").select(
             "a.tree", "a.node", "b.up", (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"), (F.col("a.depth") + F.coalesce("b.depth", F.lit(0))).alias("depth")
         )
         longer = materialise(longer, "jump")
         done, rest = done.unionByName(longer.where("up is null")), longer.where("up is not null")
         out.append(rest)
-    return out, done
+    return out, done, rest.select("tree", "node")
+
+
+def cyclic(nodes: DataFrame) -> DataFrame:
+    """tree and node of the messages in a cycle or below one."""
+    return jumps(nodes)[2]
 
 
 def branches(nodes: DataFrame, best: int = 1) -> DataFrame:
     """Turns of the ``best`` branches of each tree: tree, leaf, branch (rank from 1), depth (from 1), role and text."""
-    tables, last = jumps(nodes)
+    tables, last, _ = jumps(nodes)
     parents = tables[0].select("tree", F.col("up").alias("node"))
     leaves = last.alias("a").join(parents.alias("b"), _same("a", "b", "node", "node"), "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))

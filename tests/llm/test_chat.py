@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -57,6 +58,33 @@ def test_best_branches_of_a_tree(spark):
     assert sorted(map(tuple, found.collect())) == [(1, 4, 1, "q good more"), (1, 6, 2, "q bad why so"), (2, 9, 1, "orphan")]
 
 
+def test_messages_of_a_cycle_are_listed(spark):
+    rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "a", 1.0), (1, 3, 4, "user", "x", 9.0), (1, 4, 3, "user", "y", 9.0), (1, 5, 4, "user", "below", 9.0), (2, 1, 1, "user", "self", 0.0), (3, 1, None, "user", "z", 0.0)]
+    nodes = spark.createDataFrame(rows, NODES)
+    assert sorted(map(tuple, chat.cyclic(nodes).collect())) == [(1, 3), (1, 4), (1, 5), (2, 1)]
+    found = chat.branches(nodes, best=5)
+    assert sorted((r.tree, r.depth, r.text) for r in found.collect()) == [(1, 1, "q"), (1, 2, "a"), (3, 1, "z")]
+
+
+def test_branches_equal_brute_force(spark):
+    rnd = random.Random(4)
+    rows = [(t, i, rnd.choice([None, *range(i)][-4:]) if i else None, "user", f"m{i}", rnd.choice([0.0, 0.5, 1.0, None])) for t in range(6) for i in range(rnd.choice([1, 2, 17, 40]))]
+    best = 3
+    want = []
+    for t in {r[0] for r in rows}:
+        own = {r[1]: r for r in rows if r[0] == t}
+        paths = []
+        for leaf in own.keys() - {r[2] for r in own.values()}:
+            path, at = [], leaf
+            while at is not None:
+                path.append(at)
+                at = own[at][2]
+            paths.append((-sum(own[i][5] or 0.0 for i in path), leaf, path[::-1]))
+        want += [(t, leaf, rank, depth, own[i][4]) for rank, (_, leaf, path) in enumerate(sorted(paths)[:best], 1) for depth, i in enumerate(path, 1)]
+    found = chat.branches(spark.createDataFrame(rows, NODES), best).select("tree", "leaf", "branch", "depth", "text")
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_no_python_runs_in_the_plan(spark):
     plan = chat.digest(turns(spark, hard_turns()))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
