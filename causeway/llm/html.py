@@ -17,6 +17,7 @@ whatever their names, are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import defaultdict
@@ -38,13 +39,15 @@ DROPPED = frozenset("nav header footer aside form button select option fieldset
 #: Names (parts of class, id and role) that mark what is not part of an article.
 BOILERPLATE = re.compile(
     r"^(ad|ads|adv|advert|advertisement|advertising|adbox|adsense|adslot|banner|sponsor|sponsored|promo|promoted|promotion|nav|navbar|navigation|navi|menu|menubar|breadcrumb|breadcrumbs|header|masthead|topbar|"
-    r"footer|foot|bottombar|colophon|copyright|sidebar|side|aside|complementary|contentinfo|rail|widget|widgets|related|recommended|recommendations|comment|comments|commentlist|discussion|disqus|reply|replies|respond|feedback|"
+    r"footer|foot|bottombar|colophon|copyright|sidebar|side|aside|complementary|contentinfo|rail|widget|widgets|related|recommended|recommendations|comment|comments|commentlist|discussion|disqus|reply|replies|respond|response|responses|reaction|reactions|remark|remarks|talkback|talkbacks|guestbook|feedback|"
     r"cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|signin|register|form|search|searchbox|share|sharing|social|"
     r"pagination|pager|pagenav|skip|toolbar|tooltip|hidden|tags|tagcloud|byline|print)$"
 )
 GOOD = re.compile(r"^(article|main|content|post|entry|story|body|text|page|articlebody|maincontent|postcontent|entrycontent|articlecontent)$")
 #: A name that begins so says what is not there, or is beside: with-sidebar, no-header.
 MODIFIERS = frozenset("with without no not has".split())
+#: Steps of a path after which a hash stands for those above, so that deep markup doesn't make long paths.
+DEEP = 64
 #: Less text than this in a container is a label, not an article, unless names or headings say otherwise.
 LABEL = 40
 #: Names of articles that whole pages have too.
@@ -87,11 +90,15 @@ def _words(value: str) -> list[str]:
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "dropped", "link", "linked", "good", "heading", "blocks", "doubtful", "size")
+    __slots__ = ("tag", "parent", "level", "path", "dropped", "link", "linked", "good", "heading", "blocks", "doubtful", "size")
 
     def __init__(self, tag: str, parent: _Element | None, names: list[str], dropped: bool, kind: str):
         self.tag, self.parent = tag, parent
-        self.path = (parent.path + "/" if parent else "") + tag + (f".{kind}" if kind else "")
+        self.level = parent.level + 1 if parent else 0
+        above = parent.path if parent else ""
+        if self.level % DEEP == 0 and parent:
+            above = "#" + hashlib.md5(above.encode()).hexdigest()
+        self.path = (above + "/" if parent else "") + tag + (f".{kind}" if kind else "")
         self.dropped = dropped or bool(parent and parent.dropped)
         self.link = tag == "a" or bool(parent and parent.link)
         self.good = tag in ("article", "main") or tag not in ("html", "body") and any(GOOD.match(n) and n not in WIDE for n in names)
