@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, pretok
@@ -215,21 +215,21 @@ def held_out() -> Column:
 
 def fit(docs: DataFrame, docs_each: int = DOCS, chars_each: int = CHARS) -> Identifier | None:
     """An identifier learned from a bounded sample of the rows that are not held out; None without such rows."""
-    rows = docs.select("doc_id", "lang", "text").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    known = F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    rows = docs.where(known & ~held_out()).select(F.col("doc_id").alias("id"), "lang", F.substring("text", 1, chars_each).alias("text"), F.xxhash64("doc_id").alias("hash"))
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return None
     scale = 1 << 40
-    share = F.create_map(*(x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(scale, scale * docs_each // n)))))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < share[F.col("lang")])
-    chosen = chosen.withColumn("hash", F.xxhash64("doc_id"))
+    share = F.create_map(*(x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(scale, scale * docs_each * 2 // n)))))
+    near = rows.where(F.pmod("hash", F.lit(scale)) < share[F.col("lang")])  # about twice as many as wanted; repeated ids may make them many more
+    order = [F.pmod("hash", F.lit(scale)), F.col("hash"), F.col("id"), F.col("text")]
+    first = Window.partitionBy("lang").orderBy(*order)
+    chosen = near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= docs_each).withColumn("before", F.sum(F.length("text")).over(first.rowsBetween(Window.unboundedPreceding, -1)))
+    chosen = chosen.where(F.coalesce("before", F.lit(0)) < chars_each)
     by: dict[str, list[str]] = {}
-    size: dict[str, int] = {}
-    for row in sorted(chosen.collect(), key=lambda r: (r["hash"], r["doc_id"], r["lang"], r["text"])):
-        lang = row["lang"]
-        if size.get(lang, 0) < chars_each:
-            by.setdefault(lang, []).append(row["text"])
-            size[lang] = size.get(lang, 0) + len(row["text"])
+    for row in sorted(chosen.select("lang", "nth", "text").collect(), key=lambda r: (r["lang"], r["nth"])):  # at most twice chars_each a language
+        by.setdefault(row["lang"], []).append(row["text"])
     if not any(any(map(str.isalpha, t)) for own in by.values() for t in own):
         return None
     return Identifier([(lang, t) for lang in sorted(by) for t in by[lang]])
@@ -258,7 +258,7 @@ def identify(docs: DataFrame, model: Identifier | None) -> DataFrame:
 def keep_known(docs: DataFrame, model: Identifier | None) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    last = docs.withColumn("__text", F.col("text"))
+    last = docs.withColumn(common.free_name(docs, "text_"), F.col("text"))
 
     def run(batches):
         for batch in batches:

@@ -201,10 +201,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Judge | Non
         for batch, c in _counted(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(features(c)), pa.list_(pa.float64()))], ["y", "x"])
 
-    found = rows.mapInArrow(run, "y double, x array<double>").limit(2 * sample).toPandas()
+    # ids may repeat, so there may be more rows than labels: those of smallest hash are taken
+    found = rows.mapInArrow(run, "y double, x array<double>").orderBy(F.xxhash64("y", "x"), "y", "x").limit(sample).toPandas()
     if found.y.nunique() < 2:
         return None
-    order = np.lexsort(np.array([*found.x]).T)
+    order = np.lexsort((found.y.to_numpy(), *np.array([*found.x]).T))
     return Judge(np.array([*found.x])[order], found.y.to_numpy()[order])
 
 
@@ -225,7 +226,7 @@ def judge(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> Da
 def keep_good(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> DataFrame:
     """The documents that are kept, with all their columns."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample) if labels is not None else None)
-    last = docs.withColumn("__text", F.col("text"))
+    last = docs.withColumn(common.free_name(docs, "text_"), F.col("text"))
 
     def run(batches):
         for batch, c in _counted(batches):
