@@ -384,8 +384,9 @@ def _count_group(cell: list[int], copies: list[int], sets: list[bytes], across:
     return out
 
 
-def _count_links(nodes: DataFrame, sets: DataFrame, percent: int, parts: int, size: int) -> DataFrame:
-    """node and others, the number of documents of other nodes that it links with (columns node, n, copies, component).
+def _count_links(nodes: DataFrame, sets: DataFrame, percent: int, parts: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """node and others, the number of documents of other nodes that it links with (columns node, n, copies, component); and the
+    written table that this reads.
 
     All links are inside components. The nodes of one are dealt into cells of about ``size`` nodes and ``CELL`` tokens; every two
     cells, and every cell with itself, make a group that one task compares, so each pair of a component is counted once.
@@ -415,12 +416,13 @@ def _count_links(nodes: DataFrame, sets: DataFrame, percent: int, parts: int, si
     rows = rows.withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)))
     rows = rows.select("component", F.least("cell", "with").alias("i"), F.greatest("cell", "with").alias("j"), "node", "cell", "copies")
-    rows = common.materialise(rows, "dealt")
-    rows = (F.broadcast(rows) if rows.count() <= FEW else rows).join(sets.select("node", "tokens"), "node")
+    dealt = common.materialise(rows, "dealt")
+    rows = (F.broadcast(dealt) if dealt.count() <= FEW else dealt).join(sets.select("node", "tokens"), "node")
     rows = rows.select("component", "i", "j", "node", "cell", "copies", "tokens").repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
     with _batches_of(nodes.sparkSession, 512):
         counts = common.materialise(rows.mapInArrow(run, "node bigint, others bigint"), "counts")
-    return counts.groupBy("node").agg(F.sum("others").alias("others"))
+    common.discard(several, dealt)
+    return counts.groupBy("node").agg(F.sum("others").alias("others")), counts
 
 
 def _verify_large(large: DataFrame, label: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
@@ -514,7 +516,9 @@ def _sets(rows: DataFrame, members: DataFrame, nodes: DataFrame, words: int) ->
                 columns = [batch.column(0).slice(i, len(own)), pa.array([_pack(t) for t in own], pa.binary()), pa.array([_histogram(t) for t in own], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "tokens", "histogram"])
 
-    return texts.mapInArrow(run, "node bigint, tokens binary, histogram binary").dropDuplicates(["node"])
+    sets = common.materialise(texts.mapInArrow(run, "node bigint, tokens binary, histogram binary").dropDuplicates(["node"]), "sets")
+    common.discard(first)
+    return sets
 
 
 def _row_key(docs: DataFrame) -> Column:
@@ -549,7 +553,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by their whole sets."""
-    pairs = _possible(pairs, sets, percent)
+    possible = pairs = _possible(pairs, sets, percent)
     nodes = common.materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
     sets = sets.join(F.broadcast(nodes) if nodes.count() <= FEW else nodes, "node", "left_semi")
 
@@ -568,9 +572,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     of_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("t")), "b")
     both = of_b.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("s")), "a").select("a", "b", "s", "t")
-    spark = pairs.sparkSession
-    with _batches_of(spark, 512):
-        return common.materialise(both.mapInArrow(run, "a bigint, b bigint"), "links")
+    with _batches_of(pairs.sparkSession, 512):
+        links = common.materialise(both.mapInArrow(run, "a bigint, b bigint"), "links")
+    common.discard(possible, nodes)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -580,22 +585,27 @@ def components(links: DataFrame) -> DataFrame:
     links are redrawn between the roots, until none is left.
     """
     edges = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    label = None
+    label, spent, before = None, [], None
     while True:
         edges = common.materialise(edges, "edges")
+        common.discard(before)
+        before = edges
         if edges.isEmpty():
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")).select("node", F.least("node", "up").alias("up"))
-        parent = common.materialise(parent, "parents")
+        parent = table = common.materialise(parent, "parents")
         while True:
             above = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
             longer = parent.join(above, "up", "left").select("node", F.coalesce("top", "up").alias("top"), "up")
             longer = common.materialise(longer, "parents")
+            common.discard(table)
+            table = longer
             moved = not longer.where("top <> up").isEmpty()
             parent = longer.select("node", F.col("top").alias("up"))
             if not moved:
                 break
+        spent.append(table)
         if label is None:
             label = parent.select("node", F.col("up").alias("component"))
         else:
@@ -604,9 +614,12 @@ def components(links: DataFrame) -> DataFrame:
         for end in ("a", "b"):
             edges = edges.join(parent.select(F.col("node").alias(end), "up"), end).drop(end).withColumnRenamed("up", end)
         edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    common.discard(edges)
     if label is None:
         return links.sparkSession.createDataFrame([], "node bigint, component bigint")
-    return common.materialise(label, "labels")
+    label = common.materialise(label, "labels")
+    common.discard(*spent)
+    return label
 
 
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: int = LARGE, block: int = BLOCK, links: bool = True) -> DataFrame:
@@ -626,10 +639,10 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
 
     keys = _keys(rows, frequent, words, percent).repartition(parts, "key")
     shared = common.materialise(keys.mapInArrow(_shared, "key bigint, node bigint, n int"), "keys")
-    sets = common.materialise(_sets(rows, members.where("n > 0"), shared.select("node").distinct(), words), "sets")
+    sets = _sets(rows, members.where("n > 0"), shared.select("node").distinct(), words)
 
     common.release(spark)
-    found, label, tried = [], None, None
+    found, label, tried, steps = [], None, None, []
     for run in (_stars(percent, True), _stars(percent, False), _across(percent, large), None):
         if label is None:
             own = shared.select("key", "node", "n", F.col("node").alias("component"))
@@ -644,23 +657,29 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = common.materialise(pairs, "pairs")
+            steps.append(pairs)
             tried = pairs if tried is None else tried.unionByName(pairs)
             more = _verify(pairs, sets, percent)
         common.release(spark)
         if label is None or not more.isEmpty():
             found.append(more)
-            label = components(reduce(DataFrame.unionByName, found))
+            before, label = label, components(reduce(DataFrame.unionByName, found))
+            common.discard(before)
+    common.discard(shared, apart, *steps)
 
     # an empty set links with nothing: each such document is alone
     nodes = members.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     nodes = common.materialise(nodes.join(label, "node", "left"), "nodes")
+    common.discard(label, *found)
     least = nodes.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("least").alias("least"))
     own = nodes.select("node", "component", (F.col("copies") - 1).alias("n_links"))
     if links:
-        others = _count_links(nodes.where("component is not null").select("node", "n", "copies", "component"), sets, percent, parts, block)
+        others, others_table = _count_links(nodes.where("component is not null").select("node", "n", "copies", "component"), sets, percent, parts, block)
         own = own.join(others, "node", "left").select("node", "component", (F.col("n_links") + F.coalesce("others", F.lit(0))).alias("n_links"))
         own = common.materialise(own, "own")
+        common.discard(others_table)
         common.release(spark)
+    common.discard(sets)
     grouped = members.join(own, "node", "left").withColumn("component", F.coalesce("component", "node"))
     out = grouped.join(common.materialise(least, "least"), "component", "left")
     alone = F.col("n") == 0
@@ -675,6 +694,6 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     chosen = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     first = found.where("n_shingles > 0").groupBy("component").agg(F.min(chosen).alias("first")).select(F.col("first.rid").alias("rid"))
     kept = common.materialise(first.unionByName(found.where("n_shingles = 0").select("rid")).distinct(), "kept")
-    name = "__rid"
+    name = common.free_name(docs, "row_key")
     rows = docs.withColumn(name, _row_key(docs)).join(kept.withColumnRenamed("rid", name), name, "left_semi")
     return rows.dropDuplicates([name]).drop(name)
