@@ -49,9 +49,9 @@ FREQUENT = 1 << 20
 #: A token shown in this many documents of one batch is a candidate for the table of frequent tokens.
 SEVERAL = 3
 #: Keys of more nodes than LARGE, if still in several components, are compared inside tasks, in groups of two blocks at most.
-LARGE, BLOCK = 48, 2048
+LARGE, BLOCK = 48, 1024
 #: Links are counted in groups of two cells at most, of about BLOCK nodes and CELL tokens each.
-CELL = 1_000_000
+CELL = 500_000
 #: Nodes up to which the list of those to compare is sent to all executors; a longer one is joined by a shuffle.
 FEW = 200_000
 #: Sets smaller than this use single tokens of any frequency as keys.
