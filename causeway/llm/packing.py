@@ -33,6 +33,8 @@ from .bpe import Encoder, added_tokens, json_vocabulary, kept, special_pattern
 CAPACITY, CLOSING = 1024, 2
 #: Bundles into which the pieces of one length are dealt.
 RESOLUTION = 256
+#: Pieces of one length that are ranked together, about.
+GROUP = 4096
 #: Shares of the sequences that the tokens fill, up to which a new one may be opened though a gap fits.
 SHARES = (0.95, 0.99, 1.0)
 
@@ -124,7 +126,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
     table = spark.sparkContext.broadcast(plan(histogram, capacity))
-    salted = pieces.withColumn("salt", F.expr(f"pmod(xxhash64(rid, piece), {4 * common.partitions(spark)})"))
+    salts = spark.createDataFrame([(s, -(-n // GROUP)) for s, n in histogram.items()], "length bigint, salts bigint")
+    salted = pieces.join(F.broadcast(salts), "length").withColumn("salt", F.expr("pmod(xxhash64(rid, piece), salts)")).drop("salts")
     group = Window.partitionBy("length", "salt")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = salted.groupBy("length", "salt").agg(F.count("*").alias("in_group"))
