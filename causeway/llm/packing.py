@@ -34,7 +34,7 @@ CAPACITY, CLOSING = 1024, 2
 #: Bundles into which the pieces of one length are dealt.
 RESOLUTION = 256
 #: Pieces of one length that are ranked together, about.
-GROUP = 4096
+GROUP = 1024
 #: Shares of the sequences that the tokens fill, up to which a new one may be opened though a gap fits.
 SHARES = (0.95, 0.99, 1.0)
 
