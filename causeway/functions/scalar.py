@@ -114,3 +114,35 @@ def days_since_month_end(day: Column, month: Column) -> Column:
 def improvement(base: Column, best: Column) -> Column:
     """Whole per cent by which ``best`` is below ``base``, halves upwards."""
     return F.floor(F.try_divide(base - best, base) * 100 + 0.5).cast("int")
+
+
+def ventilation(boundary_layer: Column, speed: Column) -> Column:
+    """Of one hour; days are means of the hours' products, not products of means."""
+    return boundary_layer * speed
+
+
+def inversion(surface: Column, aloft: Column) -> Column:
+    """Temperature near the ground less that aloft."""
+    return surface - aloft
+
+
+#: Factor and offset of unit conversions.
+UNITS = {
+    "mol_to_umol": (1e6, 0.0), "mol_to_mmol": (1e3, 0.0), "mol_to_dobson": (2241.15, 0.0), "packed_aod": (0.001, 0.0), "kelvin_to_celsius": (1.0, -273.15),
+    "pascal_to_hectopascal": (0.01, 0.0), "metre_to_millimetre": (1e3, 0.0), "kilogram_to_microgram": (1e9, 0.0), "none": (1.0, 0.0),
+}
+
+
+def converted(x: Column, unit: str) -> Column:
+    factor, offset = UNITS[unit]
+    return x * F.lit(factor) + F.lit(offset)
+
+
+def last_complete_local_day(last_hour: Column, hours: int = 5) -> Column:
+    """The last local day all of whose hours there are, from the start of the last hour in UTC."""
+    return F.to_date(last_hour + F.expr("INTERVAL 1 HOURS") - F.expr(f"INTERVAL {24 - hours} HOURS"))
+
+
+def is_mature(month: Column, today, days: int = 21) -> Column:
+    """Whether a month ended at least ``days`` days before ``today`` (a parameter), so that it may be cached for good."""
+    return F.date_add(F.last_day(month), days) < F.lit(today).cast("date")

@@ -1,6 +1,8 @@
-"""Causal time-series operators on dense (zone, date) panels: nothing known on a day depends on that day or later.
+"""Causal time-series operators on (zone, date) panels: nothing known on a day depends on that day or later.
 
-Frames count rows, so panels are densified first (``densify``). All columns of one call share a window, hence one sort.
+Lags, trailing windows and target days count days of the calendar (frames by range), so a day without a row shifts nothing.
+``complete``, ``carry_forward``, ``smooth`` and ``newest_before`` count rows: their panels are densified first (``densify``). All columns
+of one call share a window, hence one sort.
 """
 
 from __future__ import annotations
@@ -28,9 +30,15 @@ def _order(zone: str, date: str):
     return Window.partitionBy(zone).orderBy(date)
 
 
+def _days(zone: str, date: str):
+    """Windows whose frames are numbers of days."""
+    return Window.partitionBy(zone).orderBy(F.unix_date(date))
+
+
 def lags(df: DataFrame, value: str, days: tuple[int, ...], zone: str = "zone_id", date: str = "date") -> DataFrame:
-    w = _order(zone, date)
-    return df.withColumns({f"{value}_lag{k}": F.lag(value, k).over(w) for k in days})
+    """The values ``k`` days before each day; NULL where that day has no row."""
+    w = _days(zone, date)
+    return df.withColumns({f"{value}_lag{k}": F.first(value).over(w.rangeBetween(-k, -k)) for k in days})
 
 
 def _guarded(fn, value: Column, frame, need: int) -> Column:
@@ -41,7 +49,7 @@ def trailing(df: DataFrame, value: str, windows: tuple[int, ...], least: float =
     """Mean and sample deviation of the ``w`` days before each day, where at least ``least`` of them (2 for a deviation) have values."""
     out = {}
     for w in windows:
-        frame = _order(zone, date).rowsBetween(-w, -1)
+        frame = _days(zone, date).rangeBetween(-w, -1)
         need = max(1, math.ceil(w * least))
         out[f"{value}_roll{w}_mean"] = _guarded(F.avg, F.col(value), frame, need)
         if std:
@@ -52,10 +60,9 @@ def trailing(df: DataFrame, value: str, windows: tuple[int, ...], least: float =
 def target_day(df: DataFrame, value: str, horizon: int, zone: str = "zone_id", date: str = "date") -> DataFrame:
     """The value on the target day (issue day plus horizon), its change from the day before, its mean and sum over three days
     that end there and the sum of the three days before the issue day; windows need all their days."""
-    w = _order(zone, date)
-    ahead = F.lead(value, horizon).over(w) if horizon else F.col(value)
-    before = F.lead(value, horizon - 1).over(w) if horizon > 1 else F.col(value) if horizon == 1 else F.lag(value, 1).over(w)
-    three, prior = w.rowsBetween(horizon - 2, horizon), w.rowsBetween(-3, -1)
+    w = _days(zone, date)
+    ahead, before = (F.first(value).over(w.rangeBetween(h, h)) for h in (horizon, horizon - 1))
+    three, prior = w.rangeBetween(horizon - 2, horizon), w.rangeBetween(-3, -1)
     return df.withColumns(
         {
             f"{value}_target": ahead, f"{value}_change": ahead - before, f"{value}_mean3": _guarded(F.avg, F.col(value), three, 3),
@@ -117,6 +124,23 @@ def city_lag(df: DataFrame, value: str, zone: str = "zone_id", date: str = "date
     return df.join(city, date, "left")
 
 
+def padded(df: DataFrame, build, start, end, before: int, after: int = 0, date: str = "date") -> DataFrame:
+    """``build`` of the days from start to end, given ``before`` more days of warm-up (and ``after`` more, where it looks both ways)."""
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    return build(df.where(F.col(date).between(F.date_sub(first, before), F.date_add(last, after)))).where(F.col(date).between(first, last))
+
+
+def require_calendar(df: DataFrame, date: str = "date", zone: str = "zone_id") -> DataFrame:
+    """The panel itself, if every zone has every day from the first to the last once; else an error."""
+    w = F.datediff(F.max(date), F.min(date)) + 1
+    one = df.groupBy(zone).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(date).alias("d"), F.min(date).alias("a"), F.max(date).alias("b"))
+    all_ = df.agg(w.alias("span"), F.min(date).alias("low"), F.max(date).alias("high"))
+    bad = one.join(F.broadcast(all_)).where((F.col("n") != F.col("span")) | (F.col("d") != F.col("n")) | (F.col("a") != F.col("low")) | (F.col("b") != F.col("high")))
+    if (found := bad.select(zone).first()) is not None:
+        raise ValueError(f"the calendar of {zone} {found[0]} has gaps or repeated days")
+    return df
+
+
 def scrambled(df: DataFrame, values: list[str], cut: Column) -> DataFrame:
     """The panel with every value where ``cut`` holds replaced, for tests of causality."""
     noise = F.xxhash64(*df.columns) % 1000

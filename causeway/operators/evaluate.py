@@ -64,6 +64,13 @@ def metrics(df: DataFrame, models: list[str], truth: str = "truth", horizon: str
     return long.groupingSets([[horizon, "model"], ["model"]], horizon, "model").agg(*aggs)
 
 
+def zone_metrics(df: DataFrame, models: list[str], truth: str = "truth", zone: str = "zone_id", least: int = 10) -> DataFrame:
+    """Metrics per zone and model, of zones with ``least`` rows or more, those without a prediction counted."""
+    enough = df.groupBy(zone).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= least)
+    long = long_predictions(df, models, [zone, truth]).join(enough.select(zone), zone, "left_semi")
+    return long.groupBy(zone, "model").agg(*(c.alias(k) for k, c in errors(F.col(truth), F.col("pred")).items()))
+
+
 def macro_f1(df: DataFrame, truth: str, pred: str, by: list[str], labels: list[str] | None = None) -> DataFrame:
     """Mean F1 over a fixed list of labels; those that never occur count 0."""
     labels = labels or [name for _, name in BANDS]
@@ -109,6 +116,58 @@ def gate(table: DataFrame, models: list[str], baseline: str, horizon: str = "hor
     return rows.select(name.alias("check"), status.alias("status"), F.concat(F.round("rmse", 3).cast("string"), F.lit(" against "), F.round("b_rmse", 3).cast("string")).alias("detail"))
 
 
+def persistence(lag: Column) -> Column:
+    """The baseline of every horizon: the last known value, not below 0."""
+    return F.when(lag.isNotNull(), F.greatest(lag, F.lit(0.0)))
+
+
+def agreement(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Mean and largest absolute difference of two models' predictions."""
+    gap = F.abs(F.col(a) - F.col(b))
+    return df.agg(F.avg(gap).alias("mean_diff"), F.max(gap).alias("max_diff"), F.count(gap).alias("n"))
+
+
+#: Parts of the names of features that physics expects among the most important.
+PHYSICAL = ("aod", "blh", "vent", "rh_", "humid", "g_pm25", "g_aqi", "cams_pm25", "no2", "inversion")
+
+
+def full_gate(
+    predictions: DataFrame, expected: DataFrame, assigned: DataFrame, models: list[str], baseline: str, features: list[str], forbidden: list[str], top: DataFrame,
+    keys: list[str], physical: tuple[str, ...] = PHYSICAL, least: int = 3, truth: str = "truth", horizon: str = "horizon",
+) -> DataFrame:
+    """Check rows (check, status). FAIL: a row of ``expected`` without predictions of all models; a forbidden column among the features; a
+    key with several folds or none; a model that does not beat the baseline overall. WARN: one that does not beat it at every
+    horizon; fewer than ``least`` physical features among ``top`` (a column feature)."""
+
+    def status(ok: Column, level: str) -> Column:
+        return F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise(level)
+
+    there = F.lit(True)
+    for m in models:
+        there = there & F.col(m).isNotNull()
+    complete = predictions.where(there).select(*keys)
+    spark = predictions.sparkSession
+    lacking = expected.select(*keys).exceptAll(complete).unionByName(complete.exceptAll(expected.select(*keys)))
+    rows = [lacking.agg(status(F.count(F.lit(1)) == 0, "FAIL").alias("status")).select(F.lit("coverage").alias("check"), "status")]
+    rows.append(spark.range(1).select(F.lit("no target or identifier among the features").alias("check"), F.lit("FAIL" if set(features) & set(forbidden) else "PASS").alias("status")))
+    folds_ = expected.select(*keys).join(assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys, "full")
+    rows.append(folds_.agg(status(F.every(F.coalesce(F.col("n"), F.lit(0)) == 1), "FAIL").alias("status")).select(F.lit("one fold per row").alias("check"), "status"))
+    table = metrics(predictions, [*models, baseline], truth, horizon)
+    base = table.where(F.col("model") == baseline).select(F.col(horizon).alias("__h"), F.col("rmse").alias("b_rmse"), F.col("mae").alias("b_mae"))
+    both = table.where(F.col("model").isin(models)).join(F.broadcast(base), F.col(horizon).eqNullSafe(F.col("__h")))
+    overall, each = both.where(F.col(horizon).isNull()), both.where(F.col(horizon).isNotNull())
+    rows.append(overall.select(F.concat("model", F.lit(" beats the baseline overall")).alias("check"), status((F.col("rmse") < F.col("b_rmse")) & (F.col("mae") < F.col("b_mae")), "FAIL").alias("status")))
+    rows.append(each.groupBy("model").agg(status(F.every(F.col("rmse") < F.col("b_rmse")), "WARN").alias("status")).select(F.concat("model", F.lit(" beats the baseline at every horizon")).alias("check"), "status"))
+    hit = F.lit(False)
+    for part in physical:
+        hit = hit | F.contains(F.lower("feature"), F.lit(part))
+    rows.append(top.agg(status(F.count_if(hit) >= least, "WARN").alias("status")).select(F.lit("physical features among the most important").alias("check"), "status"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 def write_if_passed(df: DataFrame, checks: DataFrame, path: str) -> bool:
     """Writes only where no check failed."""
     if not checks.where("status = 'FAIL'").isEmpty():

@@ -123,6 +123,48 @@ def cell_centres(cells: DataFrame, x0: float, y_top: float, step: float) -> Data
     return cells.withColumns({"x": x0 + (F.col("col") + 0.5) * step, "y": y_top - (F.col("row") + 0.5) * step})
 
 
-def reference_weight(months: DataFrame, first: str, last: str) -> DataFrame:
-    """Mean of a percentage over a reference period as a weight in 0 to 1; missing counts as 0."""
+def reference_weight(months: DataFrame, first, last, before=None) -> DataFrame:
+    """Mean of a percentage over a reference period as a weight in 0 to 1; missing counts as 0. The period must end before ``before``,
+    where the data begins that the weights are used on."""
+    if before is not None and not last < before:
+        raise ValueError("the reference period must end before the data it weighs")
     return months.where(F.col("month").between(first, last)).groupBy("row", "col").agg(F.coalesce(F.avg("v") / 100, F.lit(0.0)).alias("weight"))
+
+
+def median_composite(cells: DataFrame, values: list[str], indicator: str, clear: str, by: str = "month") -> DataFrame:
+    """Per month and cell the medians of the clear values, the share of an indicator in per cent, and the number of clear looks."""
+    medians = [F.median(F.when(F.col(clear) == 1, F.col(v))).alias(v) for v in values]
+    share = (100 * F.avg(F.col(indicator).cast("int"))).alias(f"{indicator}_pct")
+    return cells.groupBy(by, "row", "col").agg(*medians, share, F.sum(F.col(clear).cast("bigint")).alias("clear_obs"))
+
+
+def regrid(cells: DataFrame, rows: int, cols: int, scale: float, row0: float = 0.0, col0: float = 0.0, method: str = "average", by: str = "day") -> DataFrame:
+    """A raster on another grid of the same projection, whose cells are ``scale`` source cells wide and begin at (row0, col0).
+
+    ``nearest``: the source cell that holds the target cell's centre. ``bilinear``: from the four source cells around that centre, NULL next
+    to a missing one. ``average``: the mean of the source cells whose centres lie in the target cell, missing ones left out.
+    """
+    spark = cells.sparkSession
+    if method == "average":
+        row, col = (F.floor((F.col(c) + 0.5 - o) / scale).cast("int") for c, o in (("row", row0), ("col", col0)))
+        out = cells.withColumns({"r": row, "c": col}).where(F.col("r").between(0, rows - 1) & F.col("c").between(0, cols - 1))
+        return out.groupBy(by, F.col("r").alias("row"), F.col("c").alias("col")).agg(F.avg("v").alias("v"))
+    target = spark.range(rows).select(F.col("id").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.lit(cols - 1))).alias("c"))
+    target = target.withColumns({"y": row0 + (F.col("r") + 0.5) * scale, "x": col0 + (F.col("c") + 0.5) * scale})
+    if method == "nearest":
+        places = target.select("r", "c", F.floor("y").cast("int").alias("row"), F.floor("x").cast("int").alias("col"))
+        return cells.join(_small(places), ["row", "col"]).select(by, F.col("r").alias("row"), F.col("c").alias("col"), "v")
+    if method != "bilinear":
+        raise ValueError(method)
+    points = target.select((F.col("r") * cols + F.col("c")).alias("id"), (F.col("y") - 0.5).alias("y"), (F.col("x") - 0.5).alias("x"))
+    out = bilinear(cells, points, by)
+    return out.select(by, F.floor(F.col("id") / cols).cast("int").alias("row"), (F.col("id") % cols).cast("int").alias("col"), F.col("value").alias("v"))
+
+
+def area_check(cells: DataFrame, weights: DataFrame, areas: DataFrame, cell_area: float) -> DataFrame:
+    """Per zone the area of its cells (row, col, zone_id) against that of its polygon (zone_id, area): difference in per cent; and how many
+    weighted cells it touches and fills, and their area."""
+    raster_ = cells.groupBy("zone_id").agg((F.count(F.lit(1)) * F.lit(cell_area)).alias("raster_area"))
+    touched = weights.groupBy(F.col("zone").alias("zone_id")).agg(F.count_if(F.col("w") > 0).alias("touched"), F.count_if(F.col("w") == 1).alias("full"), F.sum("w").alias("weighted"))
+    out = areas.join(raster_, "zone_id", "left").join(touched, "zone_id", "left").withColumn("raster_area", F.coalesce("raster_area", F.lit(0.0)))
+    return out.withColumn("diff_pct", 100 * F.try_divide(F.col("raster_area") - F.col("area"), F.col("area")))

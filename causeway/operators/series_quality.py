@@ -59,3 +59,14 @@ def zone_day(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return df.groupBy(*by).agg(
         F.avg(value).alias("mean"), F.median(value).alias("median"), F.min(value).alias("min"), F.max(value).alias("max"), F.stddev_samp(value).alias("std"), F.count(value).alias("n_stations")
     )
+
+
+def only_complete(df: DataFrame, values: list[str], count: str, least: int) -> DataFrame:
+    """All statistics of an incomplete day or run as NULL; its row stays."""
+    whole = F.coalesce(F.col(count) >= least, F.lit(False))
+    return df.withColumns({v: F.when(whole, F.col(v)) for v in values})
+
+
+def of_known_stations(sensors: DataFrame, stations: DataFrame, station: str, zone: str = "zone_id") -> DataFrame:
+    """Only sensors of stations that lie in a zone."""
+    return sensors.join(stations.where(F.col(zone).isNotNull()).select(station).distinct(), station, "left_semi")

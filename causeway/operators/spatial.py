@@ -6,6 +6,8 @@ point looks only at its own cell.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,9 +53,22 @@ def bounds(ring: Column) -> dict[str, Column]:
     return {"x_min": F.array_min(xs), "x_max": F.array_max(xs), "y_min": F.array_min(ys), "y_max": F.array_max(ys)}
 
 
-def locate(points: DataFrame, zones: DataFrame, most: float = 0.0, cell: float = 10.0) -> DataFrame:
+#: Grid cells under all zones' bounding boxes together, about.
+CELLS = 100_000
+
+
+def _cell_size(zones: DataFrame, most: float) -> float:
+    """The width of a grid cell at which the zones' widened bounding boxes cover about ``CELLS`` cells, whatever their units."""
+    b = bounds(F.col("ring"))
+    widths = [b[f"{k}_max"] - b[f"{k}_min"] + 2 * most for k in ("x", "y")]
+    one = zones.agg(F.sum(widths[0] * widths[1]).alias("area"), F.max(F.greatest(*widths)).alias("widest")).first()
+    return max(math.sqrt((one.area or 0.0) / CELLS), (one.widest or 1.0) / 1000, 1e-9)
+
+
+def locate(points: DataFrame, zones: DataFrame, most: float = 0.0, cell: float | None = None) -> DataFrame:
     """Points (id, x, y) with zone_id, outside (0 within a zone) and snapped: the containing zone of smallest id, else the nearest
-    zone (of equals the smallest id) at most ``most`` away, else NULL."""
+    zone (of equals the smallest id) at most ``most`` away, else NULL. ``cell``: the width of a grid cell, from the zones' extents if not given."""
+    cell = cell or _cell_size(zones, most)
 
     def at(c: Column) -> Column:
         return F.floor(c / cell).cast("bigint")
@@ -79,6 +94,4 @@ def rasterise(rows: int, cols: int, zones: DataFrame) -> DataFrame:
 
 def snapped_extent(low: float, high: float, step: float, buffer: float) -> tuple[float, float]:
     """An interval widened by a buffer and then outward to whole steps."""
-    import math
-
     return math.floor((low - buffer) / step) * step, math.ceil((high + buffer) / step) * step

@@ -71,3 +71,43 @@ def payload(df: DataFrame, by: str, order: str, fields: list[str]) -> DataFrame:
     """Per key its rows, in order, as a JSON array."""
     rows = F.sort_array(F.collect_list(F.struct(order, *(f for f in fields if f != order))))
     return df.groupBy(by).agg(F.to_json(rows).alias("rows"))
+
+
+def zone_coverage(df: DataFrame, value: str, fractions: list[str], zone: str = "zone_id") -> DataFrame:
+    """Per zone the mean of some fractions and the number of days with a value."""
+    return df.groupBy(zone).agg(*(F.avg(c).alias(c) for c in fractions), F.count(value).alias("days_with_value"))
+
+
+def filled_share(cells: DataFrame, by: str = "day") -> DataFrame:
+    """Per day the share of the inside cells (flag not 9) that were filled from neighbours or near days (1, 2)."""
+    return cells.where("flag <> 9").groupBy(by).agg(F.avg(F.col("flag").isin(1, 2).cast("int")).alias("filled"))
+
+
+def most_filled(cells: DataFrame, by: str = "day") -> DataFrame:
+    """The day of the largest such share; of equals the first."""
+    return filled_share(cells, by).agg(F.max(F.struct("filled", (-F.unix_date(by) if dict(cells.dtypes)[by] == "date" else -F.col(by)).alias("o"), by)).alias("x")).select(f"x.{by}", "x.filled")
+
+
+def by_year(df: DataFrame, date: str, stations: str, zone: str = "zone_id") -> DataFrame:
+    """Per zone and year the rows, the distinct days and the median number of stations."""
+    return df.groupBy(zone, F.year(date).alias("year")).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(date).alias("days"), F.median(stations).alias("median_stations"))
+
+
+def year_table(df: DataFrame, date: str, stations: str, years: list[int], zone: str = "zone_id") -> DataFrame:
+    """The same with columns ``days_<year>`` (0 if none) and ``stations_<year>`` for a fixed list of years."""
+    long = by_year(df, date, stations, zone)
+    columns = []
+    for y in years:
+        own = F.col("year") == y
+        columns += [F.coalesce(F.max(F.when(own, F.col("days"))), F.lit(0)).alias(f"days_{y}"), F.max(F.when(own, F.col("median_stations"))).alias(f"stations_{y}")]
+    return long.groupBy(zone).agg(*columns)
+
+
+def median_int(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """The median, cut to a whole number towards zero."""
+    return df.groupBy(*by).agg(F.median(value).cast("int").alias("median"))
+
+
+def filled_fraction(valid: Column, clear: Column) -> Column:
+    """What was filled of a zone: valid less clear area, not below 0; NULL if either is."""
+    return F.when(valid.isNotNull() & clear.isNotNull(), F.greatest(valid - clear, F.lit(0.0)))

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -20,8 +21,10 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min_by(row, F.struct(*order)).alias("row")).select("row.*")
 
 
-def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Old rows whose key is not re-supplied, and all new rows."""
+def upsert(old: DataFrame, new: DataFrame, key: list[str], unique: list[str] | None = None) -> DataFrame:
+    """Old rows whose key is not re-supplied, and all new rows. ``unique``: columns that must tell the rows of the result apart."""
+    if unique:
+        require_unique(new, unique)
     return old.join(new.select(*key).distinct(), key, "left_anti").unionByName(new)
 
 
@@ -79,3 +82,49 @@ def require_schema(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     if wrong:
         raise ValueError(f"columns (wanted, found): {wrong}")
     return df.select(*schema)
+
+
+def lead_first(df: DataFrame, lead: list[str]) -> DataFrame:
+    """The same columns, ``lead`` before the others."""
+    return df.select(*lead, *(c for c in df.columns if c not in lead))
+
+
+def all_but(df: DataFrame, denied: list[str]) -> DataFrame:
+    """Every column that is not denied; denied ones need not be there."""
+    return df.select(*(c for c in df.columns if c not in denied))
+
+
+def numeric(df: DataFrame) -> DataFrame:
+    """The columns of numbers only."""
+    return df.select(*(f.name for f in df.schema if isinstance(f.dataType, T.NumericType)))
+
+
+def mapped(column: Column, names: dict) -> Column:
+    """A code's entry in a table; NULL if it has none."""
+    return F.create_map(*(F.lit(x) for kv in names.items() for x in kv))[column]
+
+
+def join_one_to_one(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join that must use every row of both sides once."""
+    require_unique(a, keys)
+    require_unique(b, keys)
+    apart = a.select(*keys).join(b.select(*keys).withColumn("__b", F.lit(True)), keys, "left_anti").limit(1).count() or b.select(*keys).join(a.select(*keys), keys, "left_anti").limit(1).count()
+    if apart:
+        raise ValueError(f"rows without a partner by {keys}")
+    return a.join(b, keys)
+
+
+def column_sets(spark, a: list[str], b: list[str]) -> DataFrame:
+    """Names of columns and where they are: both, or only one of two lists. Shared names are what must not leak; the rest is how
+    two tables differ."""
+    rows = [(c, "both" if c in set(a) & set(b) else "first" if c in a else "second") for c in sorted(set(a) | set(b))]
+    return spark.createDataFrame(rows, "name string, place string")
+
+
+def reseeded(stored: DataFrame, fresh: DataFrame, issue: str = "issue_date") -> DataFrame:
+    """What a serving table holds after a new forecast came: all of the fresh rows if their issue date is another than the stored one
+    (or nothing is stored), else what is stored. Each side has one issue date."""
+    now = fresh.agg(F.max(issue).alias("fresh"))
+    before = stored.agg(F.max(issue).alias("stored"))
+    same = now.join(before).select(F.coalesce(F.col("fresh").eqNullSafe(F.col("stored")), F.lit(False)).alias("same"))
+    return stored.join(F.broadcast(same.where("same"))).drop("same").unionByName(fresh.join(F.broadcast(same.where("not same"))).drop("same"))

@@ -19,7 +19,8 @@ ORACLES: dict[str, str] = {}
 ZONE = "CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END"
 EVENTS = f"ev AS (SELECT *, CAST(ts AS DATE) AS date, {ZONE} AS zone_id FROM events)"
 PANEL = f"{EVENTS}, panel AS (SELECT date, zone_id, avg(value) AS value FROM ev GROUP BY date, zone_id)"
-GAPPY = f"{PANEL}, gappy AS (SELECT date, zone_id, CASE WHEN (day(date) * 7 + zone_id * 3) % 5 <> 0 THEN value END AS value FROM panel)"
+_GAPPY = "gappy AS (SELECT date, zone_id, CASE WHEN (day(date) * 7 + zone_id * 3) % 5 <> 0 THEN value END AS value FROM panel)"
+GAPPY = f"{PANEL}, {_GAPPY}"
 HOURLY = f"{EVENTS}, hourly AS (SELECT zone_id, date_trunc('hour', ts) AS hour, CAST(floor(avg(value) / 20) AS DOUBLE) AS value FROM ev GROUP BY 1, 2)"
 SENSOR = f"{EVENTS}, sensors AS (SELECT CAST(user_id % 12 AS INT) AS sensor, date, avg(value * (1 + (user_id % 12) % 4)) AS value FROM ev GROUP BY 1, 2)"
 RUNS = f"""{PANEL}, runs AS (
@@ -280,7 +281,8 @@ def newest_usable_run(spark, d):
     return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
-@query(f"WITH {RUNS}, h AS (SELECT target AS date, zone_id, v FROM forecast_runs WHERE lead = 0) SELECT date, zone_id, round(lag(v) OVER w, 6) AS v_lag1, {_roll(3, 1, c='v')} AS v_roll3_mean FROM h {_W}")
+@query(f"""WITH {RUNS}, h AS (SELECT target AS date, zone_id, v FROM forecast_runs WHERE lead = 0) SELECT h.date, h.zone_id, round(b.v, 6) AS v_lag1, round(avg(h.v) OVER r, 6) AS v_roll3_mean
+FROM h LEFT JOIN h b ON b.zone_id = h.zone_id AND b.date = h.date - 1 WINDOW r AS (PARTITION BY h.zone_id ORDER BY h.date RANGE BETWEEN INTERVAL 3 DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING)""")
 def run_history_lags(spark, d):
     h = runs.run_history(a.runs(spark, d), "v")
     return rounded(causal.trailing(causal.lags(h, "v", (1,)), "v", (3,), std=False).drop("v"))
@@ -695,16 +697,16 @@ def causality_violations(spark, d):
     return checks.changed_before(p, lambda x: causal.trailing(causal.lags(x, "value", (1, 2)), "value", (3, 7)), ["value"], "2024-01-16")
 
 
-_FEATURES = f"""{RUNS}, hist AS (SELECT date, zone_id, value, lag(value, 1) OVER w AS sat_lag1, lag(value, 3) OVER w AS sat_lag3, {_roll(7, 1)} AS sat_roll7_mean FROM panel {_W})"""
+_FEATURES = f"""{RUNS}, {_GAPPY}, hist AS (SELECT date, zone_id, value, lag(value, 1) OVER w AS sat_lag1, lag(value, 3) OVER w AS sat_lag3, {_roll(3, 3)} AS sat_roll3_mean, {_roll(3, 3, _STD)} AS sat_roll3_std, {_roll(7, 7)} AS sat_roll7_mean FROM gappy {_W})"""
 
 
 @query(f"WITH {_FEATURES} " + " UNION ALL ".join(
-    f"""SELECT u.date AS issue_date, u.zone_id, u.horizon, CAST(u.date + {h} AS DATE) AS target_date, round(h.sat_lag1, 6) AS sat_lag1, round(h.sat_lag3, 6) AS sat_lag3, h.sat_roll7_mean, round(m.value, 6) AS met_target, u.v AS run_v, u.run_age,
+    f"""SELECT u.date AS issue_date, u.zone_id, u.horizon, CAST(u.date + {h} AS DATE) AS target_date, round(h.sat_lag1, 6) AS sat_lag1, round(h.sat_lag3, 6) AS sat_lag3, h.sat_roll3_mean, h.sat_roll3_std, h.sat_roll7_mean, round(m.value, 6) AS met_target, u.v AS run_v, u.run_age,
 round(m.value, 6) AS truth FROM ({_usable(h)}) u JOIN hist h ON h.date = u.date AND h.zone_id = u.zone_id JOIN panel m ON m.date = CAST(u.date + {h} AS DATE) AND m.zone_id = u.zone_id""" for h in (0, 1, 2)))
 def feature_table(spark, d):
     p = a.panel(spark, d)
-    f = features.with_targets(features.build(p, p, a.runs(spark, d)), p)
-    f = f.select("issue_date", "zone_id", "horizon", "target_date", "sat_lag1", "sat_lag3", "sat_roll7_mean", "met_target", "run_v", "run_age", "truth")
+    f = features.with_targets(features.build(a.gappy(spark, d), p, a.runs(spark, d)), p)
+    f = f.select("issue_date", "zone_id", "horizon", "target_date", "sat_lag1", "sat_lag3", "sat_roll3_mean", "sat_roll3_std", "sat_roll7_mean", "met_target", "run_v", "run_age", "truth")
     return rounded(f)
 
 
@@ -715,11 +717,15 @@ def one_hot_fixed(spark, d):
 
 @query()
 def gbt_out_of_fold(spark, d):
-    """Out-of-fold predictions of boosted trees on the feature table (no SQL form)."""
+    """Out-of-fold predictions of boosted trees on the feature table, with weights and early stopping (no SQL form)."""
     from ..operators.models import out_of_fold
 
     p = a.panel(spark, d)
     f = features.with_targets(features.build(p, p, a.runs(spark, d), (0, 1)), p)
-    f = f.join(evaluate.folds(p, "date", 3).withColumnRenamed("date", "issue_date"), "issue_date").cache()
-    out = out_of_fold(f, ["sat_lag1", "sat_roll3_mean", "sat_roll7_mean", "run_v", "dow_sin", "dow_cos"], "truth", rounds=5)
+    f = f.join(evaluate.folds(p, "date", 3).withColumnRenamed("date", "issue_date"), "issue_date").withColumn("weight", 1.0 + F.col("zone_id") % 2)
+    columns = ["sat_lag1", "sat_roll3_mean", "sat_roll7_mean", "run_v", "dow_sin", "dow_cos"]
+    out = out_of_fold(f, columns, "truth", weight="weight", rounds=5, order=["issue_date", "zone_id"])
     return out.select("issue_date", "zone_id", "horizon", "truth", "pred_gbt")
+
+
+from . import catalogue_more  # noqa: E402, F401  (registers its queries)

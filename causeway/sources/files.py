@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,96 @@ def complete_partitions(df: DataFrame, expected: DataFrame, by: str, date: str =
     return df.join(lacking, by, "left_anti")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def read_own(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """An earlier output that this run adds to: empty if there is none, and without the files that can't be read."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return nan_to_null(spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path))
+
+
+def cached_or_null(df: DataFrame, expected: DataFrame, by: str, cells: int, date: str = "date") -> DataFrame:
+    """The expected (``by``, ``date``) pairs with ``valid``: whether the cache holds that whole partition, ``cells`` rows for each of its dates
+    and no other date; a partition that isn't valid is read anew."""
+    have = df.groupBy(by, date).agg(F.count(F.lit(1)).alias("rows"))
+    both = expected.select(by, date).withColumn("wanted", F.lit(True)).join(have, [by, date], "full")
+    ok = both.groupBy(by).agg(F.every(F.coalesce(F.col("wanted") & (F.col("rows") == cells), F.lit(False))).alias("valid"))
+    return expected.select(by, date).join(ok, by)
+
+
+def closed_years(df: DataFrame, today, date: str = "date") -> DataFrame:
+    """The rows of calendar years before that of ``today``: those may be cached, the current year is read again."""
+    return df.where(F.year(date) < F.year(F.lit(today).cast("date")))
+
+
+def merge_partitions(spark: SparkSession, fresh: DataFrame, path: str, by: str, date: str = "date") -> None:
+    """Adds days to a table partitioned by ``by`` (months, say): days that are there are replaced, other days of the partition stay."""
+    if exists(spark, path):
+        old = spark.read.schema(fresh.schema).parquet(path).join(fresh.select(by).distinct(), by, "left_semi").join(fresh.select(by, date).distinct(), [by, date], "left_anti")
+        # read and written partitions are the same ones: the merged rows are written aside first
+        aside = f"{path.rstrip('/')}__merge"
+        old.select(*fresh.columns).unionByName(fresh).write.mode("overwrite").parquet(aside)
+        write_partitions(spark.read.schema(fresh.schema).parquet(aside), path, by)
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(aside)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    else:
+        write_partitions(fresh, path, by)
+
+
+def leftovers(spark: SparkSession, path: str, marks: tuple[str, ...] = ("_temporary", ".tmp", ".part")) -> DataFrame:
+    """Files under a folder that an interrupted run left, or that are empty: path, length, kind. ``_SUCCESS`` marks may be empty."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(at, True)  # names and lengths: Spark's readers skip such files
+    rows = []
+    while found.hasNext():
+        f = found.next()
+        name, length = f.getPath().toString(), f.getLen()
+        last = name.rsplit("/", 1)[1]
+        kind = "temporary" if any(m in name for m in marks) else "empty" if not length and not last.startswith(("_", ".")) else None
+        if kind:
+            rows.append((name, length, kind))
+    return spark.createDataFrame(rows, "path string, length bigint, kind string")
+
+
+class SingleWriter:
+    """Exclusive use of a table's folder, by a lock file that only one process can create; the same object may enter again.
+
+    The lock names its holder. One that a lost process left is older than ``stale`` seconds and is taken over.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, stale: float = 24 * 3600):
+        jvm = spark.sparkContext._jvm
+        self.at = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/.writer.lock")
+        self.fs = self.at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.stale, self.depth = stale, 0
+
+    def __enter__(self):
+        if not self.depth:
+            if self.fs.exists(self.at) and time.time() - self.fs.getFileStatus(self.at).getModificationTime() / 1000 > self.stale:
+                self.fs.delete(self.at, False)
+            if not self.fs.createNewFile(self.at):
+                raise RuntimeError(f"another process writes {self.at.getParent()}")
+        self.depth += 1
+        return self
+
+    def __exit__(self, *_):
+        self.depth -= 1
+        if not self.depth:
+            self.fs.delete(self.at, False)
+
+
+def write_geojson(df: DataFrame, path: str, key: str = "zone_id") -> None:
+    """Zones (key, ring) as GeoJSON features, a line each."""
+    ring = F.concat(F.col("ring"), F.slice("ring", 1, 1))
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(ring, lambda p: F.array(p.x, p.y))).alias("coordinates"))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col(key)).alias("properties"), shape.alias("geometry"))
+    df.select(F.to_json(feature).alias("value")).write.mode("overwrite").text(path)
+
+
 def write_partitions(df: DataFrame, path: str, by: str) -> None:
     """Replaces only the partitions that ``df`` has; the commit protocol makes each appear whole or not at all."""
     df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)

@@ -18,31 +18,43 @@ def local_days(stream: DataFrame, least: int, ts: str = "ts", late: str = "48 ho
     return days.select(F.to_date(F.col("w.end")).alias("date"), "event_type", "value", "n")
 
 
-def upsert_sink(path: str, key: list[str], order: str):
-    """For ``foreachBatch``: each micro-batch's last row per key replaces the stored one.
+def upsert_sink(path: str, key: list[str], order: str, by: str = "date"):
+    """For ``foreachBatch``: each micro-batch's last row per key replaces the stored one, in a table partitioned by ``by``, a column of the key.
 
-    Versions are written to a new folder and then named in a small marker row, so a repeated batch gives the same table.
+    Only the partitions that a batch touches are read and written again, so its work follows the batch, not the table. The merged
+    partitions are written aside under the batch's number and then put in place; a batch that is repeated finds rows no newer than
+    its own and gives the same table. A row that is older than the stored one (by ``order``) changes nothing.
     """
+    if by not in key:
+        raise ValueError(f"{by} must be a column of the key")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        from ..operators.upsert import keep_last, upsert
+        from ..operators.upsert import keep_last
+        from ..sources.files import exists, write_partitions
 
         spark = batch.sparkSession
+        aside = f"{path.rstrip('/')}__batch/{epoch}"
         new = keep_last(batch, key, [F.col(order)])
-        before = current(spark, path, epoch)
-        table = upsert(before, new, key) if before is not None else new
-        table.write.mode("overwrite").parquet(f"{path}/version={epoch}")
+        if exists(spark, path):
+            touched = [r[0] for r in new.select(by).distinct().collect()]  # partitions of one micro-batch: days within the lateness, a handful
+            old = spark.read.schema(batch.schema).parquet(path).where(F.col(by).isin(touched))
+            new = keep_last(old.select(*batch.columns).unionByName(new), key, [F.col(order)])
+        new.select(*batch.columns).write.mode("overwrite").parquet(aside)
+        write_partitions(spark.read.schema(batch.schema).parquet(aside), path, by)
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(aside)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
     return write
 
 
-def current(spark, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest version of an upserted table (of those before an epoch); versions are numbered by epoch."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return None
-    found = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder) if s.getPath().getName().startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    found = [v for v in found if before is None or v < before]
-    return spark.read.parquet(f"{path}/version={max(found)}") if found else None
+def current(spark, path: str) -> DataFrame | None:
+    """The upserted table, None before the first batch."""
+    from ..sources.files import exists
+
+    return spark.read.parquet(path) if exists(spark, path) else None
+
+
+def daily_issue(stream: DataFrame, build, sink, checkpoint: str):
+    """One forecast per day: everything that came since the last issue is handled once and the query ends; run it once a day.
+    ``build`` makes the rows of a batch, ``sink`` is a function for ``foreachBatch``. The checkpoint admits one writer at a time."""
+    return build(stream).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -186,3 +186,97 @@ def test_mode_goes_to_the_first_seen(spark):
     assert summaries.mode_first(df, "v", "o", ["g"]).first().mode == "b"
 
 
+
+
+def test_a_calendar_with_gaps_is_an_error(spark):
+    p = panel(spark, days=6, zones=2)
+    assert causal.require_calendar(p) is p
+    for bad in (p.where("not (zone_id = 1 and date = date'2024-01-03')"), p.unionByName(p.limit(1)), p.where("zone_id = 0 or date > date'2024-01-01'")):
+        with pytest.raises(ValueError):
+            causal.require_calendar(bad)
+
+
+def test_missing_days_shift_nothing(spark):
+    day = lambda i: dt.date(2024, 1, i)
+    p = spark.createDataFrame([(1, day(i), float(i)) for i in (1, 2, 3, 6, 7)], "zone_id int, date date, value double")
+    out = {r.date.day: r for r in causal.trailing(causal.lags(p, "value", (1, 3)), "value", (3,)).collect()}
+    assert (out[6].value_lag1, out[6].value_lag3, out[6].value_roll3_mean) == (None, 3.0, 3.0)
+    assert (out[7].value_lag1, out[7].value_roll3_mean, out[7].value_roll3_std) == (6.0, 6.0, None)
+    ahead = {r.date.day: r for r in causal.target_day(p, "value", 2).collect()}
+    assert ahead[1].value_target == 3.0 and ahead[2].value_target is None and ahead[1].value_sum3 == 6.0
+
+
+def test_satellite_windows_need_all_their_days(spark):
+    from causeway.operators import features
+
+    day = dt.date(2024, 1, 1)
+    sat = spark.createDataFrame([(1, day + dt.timedelta(days=i), None if i == 4 else float(i)) for i in range(10)], "zone_id int, date date, value double")
+    met = spark.createDataFrame([(1, day + dt.timedelta(days=i), 1.0) for i in range(12)], "zone_id int, date date, value double")
+    none = spark.createDataFrame([], "init date, lead int, target date, zone_id int, v double")
+    out = {r.issue_date.day: r.sat_roll3_mean for r in features.build(sat, met, none, (0,)).collect()}
+    assert out[4] == 1.0 and out[5] == 2.0 and out[6] is None and out[8] is None and out[9] == 6.0
+
+
+def test_upsert_asserts_unique_keys(spark):
+    old = spark.createDataFrame([(1, "a")], "k int, v string")
+    new = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    assert upsert.upsert(old, new, ["k"]).count() == 2
+    with pytest.raises(ValueError):
+        upsert.upsert(old, new, ["k"], unique=["k"])
+    with pytest.raises(ValueError):
+        upsert.join_one_to_one(old, new.limit(1).withColumn("k", F.lit(2)), ["k"])
+    assert upsert.numeric(old).columns == ["k"]
+
+
+def test_two_formulations_agree_on_a_sample(spark, sf):
+    """Independent recomputation: the district day of sampled keys, from the sensors themselves."""
+    s = adapters.sensor_day(spark, sf).withColumn("zone_id", F.col("sensor") % 4)
+    some = upsert.sample(series_quality.zone_day(s, ["date", "zone_id"], "value"), 12, ["date", "zone_id"]).collect()
+    rows = s.collect()
+    for r in some:
+        own = sorted(x.value for x in rows if x.date == r.date and x.zone_id == r.zone_id)
+        n = len(own)
+        mean = sum(own) / n
+        assert n == r.n_stations and abs(mean - r["mean"]) < 1e-9 and abs((own[(n - 1) // 2] + own[n // 2]) / 2 - r["median"]) < 1e-9
+        assert r["std"] is None if n == 1 else abs((sum((x - mean) ** 2 for x in own) / (n - 1)) ** 0.5 - r["std"]) < 1e-9
+
+
+def test_bilinear_regrid_of_a_linear_field(spark):
+    cells = spark.range(64).select(F.lit(1).alias("day"), F.floor(F.col("id") / 8).cast("int").alias("row"), (F.col("id") % 8).cast("int").alias("col"))
+    linear = cells.withColumn("v", 3.0 + 2 * (F.col("row") + 0.5) - 5 * (F.col("col") + 0.5))
+    out = raster.regrid(linear, 3, 3, 2.5, method="bilinear").collect()
+    assert len(out) == 9 and all(r.v == pytest.approx(3 + 2 * (r.row + 0.5) * 2.5 - 5 * (r.col + 0.5) * 2.5) for r in out)
+    with pytest.raises(ValueError):
+        raster.regrid(linear, 3, 3, 2.5, method="cubic")
+    with pytest.raises(ValueError):
+        raster.reference_weight(cells, "2021-01", "2021-12", before="2021-06")
+
+
+def test_models_stop_early_and_are_refitted(spark):
+    import random
+
+    from causeway.operators import models
+
+    rnd = random.Random(1)
+    rows = []
+    for i in range(240):
+        x = rnd.random()
+        rows.append((dt.date(2024, 1, 1) + dt.timedelta(days=i // 4), i % 4, 0, i // 80, None if i % 17 == 0 else x, 10 * x + rnd.gauss(0, 3), 1.0 + i % 3))
+    df = spark.createDataFrame(rows, "date date, zone_id int, horizon int, fold int, x double, truth double, weight double")
+    out, used = models.fit_folds(df, ["x"], "truth", weight="weight", rounds=15, order=["date", "zone_id"])
+    assert out.count() == 240 and out.where("pred_gbt is null or pred_gbt < 0").count() == 0
+    assert set(used) == {(0, 0), (0, 1), (0, 2)} and all(1 <= n <= 15 for n in used.values()) and min(used.values()) < 15
+    final = models.median_rounds(used)
+    assert models.median_rounds({(0, 0): 3, (0, 1): 8, (1, 0): 5}) == {0: 5, 1: 5}
+    fitted = models.refit(df, ["x"], "truth", final, weight="weight")
+    assert models.rounds_of(fitted[0]) == final[0]
+    live = models.predict_live(fitted, df.drop("truth").limit(10))
+    assert live.count() == 10 and live.where("pred_gbt >= 0").count() == 10
+    assert models.importances(fitted[0])[0][0] == "x"
+
+
+def test_zones_of_any_unit_are_located(spark):
+    big = adapters.zones(spark).withColumn("ring", F.transform("ring", lambda p: F.struct((p.x * 1e4).alias("x"), (p.y * 1e4).alias("y"))))
+    points = spark.createDataFrame([(1, 20e4, 20e4), (2, 8e4, 20e4), (3, 200e4, 200e4)], "id int, x double, y double")
+    out = {r.id: r for r in spatial.locate(points, big, most=5e4).collect()}
+    assert out[1].zone_id == 1 and out[2].zone_id == 1 and out[2].outside == 2e4 and out[3].zone_id is None
