@@ -697,3 +697,22 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
     name = common.free_name(docs, "row_key")
     rows = docs.withColumn(name, _row_key(docs)).join(kept.withColumnRenamed("rid", name), name, "left_semi")
     return rows.dropDuplicates([name]).drop(name)
+
+
+#: For small tables: it meets all pairs of documents that share a shingle.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS tokens FROM d
+), n AS (SELECT r, doc_id, CAST(len(tokens) AS BIGINT) AS n FROM s),
+t AS (SELECT r, unnest(tokens) AS x FROM s),
+shared AS (SELECT a.r AS a, b.r AS b, count(*) AS m FROM t a JOIN t b ON a.x = b.x AND a.r < b.r GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * m >= 75 * (x.n + y.n - m)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT r AS a, r AS b FROM n UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b),
+least AS (SELECT a, min(doc_id) AS component_id FROM reach JOIN n ON n.r = reach.b GROUP BY 1),
+many AS (SELECT a, count(*) AS n_links FROM ways GROUP BY 1)
+SELECT doc_id, n AS n_shingles, component_id, coalesce(n_links, 0) AS n_links FROM n JOIN least ON least.a = n.r LEFT JOIN many ON many.a = n.r
+"""

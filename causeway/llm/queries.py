@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, warc
+from . import chat, jaccard, warc
 from .common import table
 
 
@@ -74,4 +74,4 @@ def op10_nearest_neighbours(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_html_extraction, op3_best_fit_packing, op4_token_counts, op5_warc, op6_language_id, op7_quality_rules, op8_byte_bpe, op9_chat_formatting, op10_nearest_neighbours)}
 
-ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op9_chat_formatting": chat.ORACLE}
+ORACLES: dict[str, str] = {"op1_ngram_jaccard": jaccard.ORACLE, "op5_warc": warc.ORACLE, "op9_chat_formatting": chat.ORACLE}
