@@ -1,13 +1,13 @@
 """Fixtures that every operator must survive."""
 
 #: doc_id, text, lang, source, n_chars, and columns whose names the operators use themselves.
-DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, rid string, node string, piece string, n int, score string, kept string, key string, digest string"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, rid string, node string, piece string, n int, score string, kept string, key string, digest string, text_ string, row_key string, __text string, __rid string"
 
 PROSE = "the quick brown fox jumps over the lazy dog while seven wizards box quietly near the old stone bridge and nobody minds the rain at all tonight "
 
 
 def doc(doc_id, text, lang="en"):
-    return (doc_id, text, lang, "s", None, "r", "x", "p", 1, "s", "k", "key", "d")
+    return (doc_id, text, lang, "s", None, "r", "x", "p", 1, "s", "k", "key", "d", "t", "rk", "tt", "ri")
 
 
 def hard_documents():

@@ -1,5 +1,7 @@
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -108,3 +110,75 @@ def test_kneser_ney_probabilities_sum_to_one():
         at = np.arange(len(rows)) * 7 + 6
         p = np.exp(model.log_probabilities(x, at)[:, 0])
         assert abs(p.sum() - 1) < 1e-4
+
+
+def naive_entropy(training: dict[str, list[str]], text: str) -> dict[str, float]:
+    """Interpolated Kneser-Ney by its definition, with dictionaries."""
+    order, blank = langid.ORDER, chr(langid.BLANK)
+
+    def places(t):
+        t = blank * (order - 1) + "".join(c.lower() if c.isalpha() else blank for c in t)
+        return [t[i - order + 1 : i + 1] for i in range(order - 1, len(t)) if t[i] != blank or t[i - 1] != blank]
+
+    counts = {}
+    for lang, texts in training.items():
+        own = {order: Counter(g for t in texts for g in places(t))}
+        for k in range(order - 1, 0, -1):
+            own[k] = Counter(g[1:] for g in own[k + 1])
+        counts[lang] = own
+    alphabet = len({g for own in counts.values() for g in own[1]}) + 1
+    out = {}
+    for lang, own in counts.items():
+        discount, total, kinds = {}, {}, {}
+        for k in own:
+            n1, n2 = (sum(v == n for v in own[k].values()) for n in (1, 2))
+            discount[k] = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+            total[k], kinds[k] = Counter(), Counter()
+            for g, v in own[k].items():
+                total[k][g[:-1]] += v
+                kinds[k][g[:-1]] += 1
+
+        def p(g, own=own, discount=discount, total=total, kinds=kinds):
+            k = len(g)
+            if not k:
+                return 1 / alphabet
+            n = total[k][g[:-1]]
+            if not n:
+                return p(g[1:])
+            return max(own[k][g] - discount[k], 0) / n + discount[k] * kinds[k][g[:-1]] / n * p(g[1:])
+
+        found = places(text)
+        out[lang] = -sum(math.log(p(g)) for g in found) / len(found)
+    return out
+
+
+def test_cross_entropy_equals_the_definition():
+    training = {"en": ["the quick brown fox jumps over the lazy dog", "a stone in the river, and the rain"], "fr": ["le renard brun saute par dessus le chien", "une pierre dans la rivière"], "x": ["zzz"]}
+    model = langid.Model({lang: [langid.symbols(*langid._flat(own))[:2]] for lang, own in training.items()})
+    for text in ("the dog and the stone", "la pierre brune", "zz qq", "The RIVER rivière!", "日本"):
+        got = model.cross_entropy(*langid._flat([text]))[0]
+        want = naive_entropy(training, text)
+        assert all(abs(got[i] - want[lang]) < 1e-4 for i, lang in enumerate(model.languages)), (text, got, want)
+
+
+def test_text_of_other_languages_is_rejected(spark, sf):
+    docs = common.table(spark, sf.replace("sf0.001", "sf0.01"), "documents")
+    model = langid.fit(docs)
+    others = ["Tämä on suomenkielinen lause, jota malli ei ole koskaan nähnyt, ja se on aivan tavallista proosaa talosta ja metsästä.", "Это предложение написано по-русски, и модель никогда его не видела раньше.", "この文は日本語で書かれていて、モデルは見たことがありません。", "Ten tekst jest po polsku i mówi o domu, lesie, rzece oraz o pogodzie nad morzem."]
+    rows = langid.identify(frame(spark, [doc(i, t, None) for i, t in enumerate(others)]), model).collect()
+    assert all(r.rejected and 0 <= r.score <= 1 for r in rows)
+
+
+def test_flattened_trees_score_like_a_walk():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 3)).round(1)
+    y = (x[:, 0] - x[:, 1] + 0.3 * rng.normal(size=600) > 0).astype(float)
+    trees = quality.Trees(trees=12).fit(x, y, np.array([1, -1, 0]))
+
+    def walk(row, at):
+        while trees.child[0, at] != at:
+            at = trees.child[int(row[trees.feature[at]] <= trees.threshold[at]), at]
+        return trees.value[at]
+
+    want = [1 / (1 + math.exp(-trees.start - sum(walk(row, r) for r in trees.roots))) for row in x]
+    assert np.allclose(trees.score(x), want, rtol=1e-12)
