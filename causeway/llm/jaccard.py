@@ -505,7 +505,7 @@ def _sets(rows: DataFrame, members: DataFrame, nodes: DataFrame, words: int) ->
     """node and tokens of the wanted nodes, each read from its first document."""
     first = members.groupBy("node").agg(F.min("rid").alias("rid")).join(nodes, "node", "left_semi")
     first = common.materialise(first, "first")
-    texts = rows.select("rid", "text").join(first, "rid").select("node", "text")  # repeated rows share a rid
+    texts = rows.select("rid", "text").dropDuplicates(["rid"]).join(first, "rid").select("node", "text")  # repeated rows share a rid
 
     def run(batches):
         for batch in batches:
@@ -516,7 +516,7 @@ def _sets(rows: DataFrame, members: DataFrame, nodes: DataFrame, words: int) ->
                 columns = [batch.column(0).slice(i, len(own)), pa.array([_pack(t) for t in own], pa.binary()), pa.array([_histogram(t) for t in own], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "tokens", "histogram"])
 
-    sets = common.materialise(texts.mapInArrow(run, "node bigint, tokens binary, histogram binary").dropDuplicates(["node"]), "sets")
+    sets = common.materialise(texts.mapInArrow(run, "node bigint, tokens binary, histogram binary"), "sets")
     common.discard(first)
     return sets
 
@@ -639,6 +639,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
 
     keys = _keys(rows, frequent, words, percent).repartition(parts, "key")
     shared = common.materialise(keys.mapInArrow(_shared, "key bigint, node bigint, n int"), "keys")
+    common.release(spark)
     sets = _sets(rows, members.where("n > 0"), shared.select("node").distinct(), words)
 
     common.release(spark)
