@@ -14,8 +14,10 @@ next), which keeps the combinations of a set in proportion to its size.
 Verification without all pairs. A key's nodes are first compared with one hub, the node of smallest fingerprint, then with
 another that differs from key to key; what links falls into components. Only pairs of one key that are then still in
 different components are compared one by one; so no link that joins components is lost, and a group of thousands
-of near copies costs a few comparisons per member. Where many nodes of one key remain apart, they are compared inside tasks, in
-bounded groups that return only the links which join components. Comparisons use whole sets; an upper bound on the overlap, from
+of near copies costs a few comparisons per member. A key's rows pass through a task in sorted order, a bounded number at a time;
+a key of very many nodes is cut into pieces that share a node and are dealt to tasks like keys. Where many nodes of one key, or
+of its pieces, remain apart, they are compared inside tasks, in bounded groups (two blocks of nodes whose sizes and components allow a new
+link) that return only the links which join components. Comparisons use whole sets; an upper bound on the overlap, from
 histograms of the tokens, spares pairs that cannot link the exchange of their sets.
 
 Links. With the components known, all pairs of nodes of one component are compared inside tasks, in bounded groups that return
@@ -50,6 +52,8 @@ FREQUENT = 1 << 20
 SEVERAL = 3
 #: Keys of more nodes than LARGE, if still in several components, are compared inside tasks, in groups of two blocks at most.
 LARGE, BLOCK = 48, 1024
+#: Nodes of one key that a task holds at once, at least and about: a key of more is cut into pieces.
+PART = 1 << 16
 #: Links are counted in groups of two cells at most, of about BLOCK nodes and CELL tokens each.
 CELL = 500_000
 #: Nodes up to which the list of those to compare is sent to all executors; a longer one is joined by a shuffle.
@@ -223,28 +227,80 @@ def _keys(rows: DataFrame, frequent, words: int, percent: int) -> DataFrame:
     return rows.select("text").mapInArrow(run, "key bigint, node bigint, n int")
 
 
-def _groups(batches):
-    """All rows of a partition (key, node, n, then more), by key and node without repeats, with where each key begins."""
-    columns = [[c.to_numpy() for c in batch.columns] for batch in batches if len(batch)]
-    if not columns:
-        return None
-    columns = [np.concatenate(c) for c in zip(*columns)]
+def _merged(held):
+    """Columns (key, node, then more) of several pieces, by key and node without repeats."""
+    columns = [np.concatenate(c) for c in zip(*held)]
     order = np.lexsort((columns[1], columns[0]))
     columns = [c[order] for c in columns]
     keep = np.ones(len(order), bool)
     keep[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
-    columns = [c[keep] for c in columns]
-    begin = np.flatnonzero(np.concatenate([[True], columns[0][1:] != columns[0][:-1]]))
-    return columns, np.append(begin, len(columns[0]))
+    return [c[keep] for c in columns]
 
 
-def _shared(batches):
-    """The rows of keys that several nodes have."""
-    found = _groups(batches)
-    if found:
-        columns, begin = found
-        several = np.repeat(np.diff(begin) > 1, np.diff(begin))
-        yield pa.RecordBatch.from_arrays([pa.array(c[several]) for c in columns], ["key", "node", "n"])
+def _groups(batches, part: int | None = None):
+    """The keys of a partition that is sorted by key, some at a time: columns (key, node, then more) by key and node without repeats,
+    where each key begins, and whether this is a piece of one key.
+
+    With ``part`` a key of many nodes comes in pieces of at least so many (but the last), so a task holds a bounded number of rows.
+    """
+    most, held, rows = 4 * (part or PART), [], 0
+
+    def group(columns, piece=False):
+        begin = np.flatnonzero(np.concatenate([[True], columns[0][1:] != columns[0][:-1]]))
+        return columns, np.append(begin, len(columns[0])), piece
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append([c.to_numpy() for c in batch.columns])
+        rows += len(batch)
+        if rows < most:
+            continue
+        columns = _merged(held)
+        last = int(np.searchsorted(columns[0], columns[0][-1]))
+        if last:
+            yield group([c[:last] for c in columns])
+        elif part and len(columns[0]) >= part:
+            yield group(columns, True)
+            last = len(columns[0])
+        held = [[c[last:] for c in columns]]
+        rows = len(columns[0]) - last
+    if rows:
+        yield group(_merged(held))
+
+
+def _code(piece):
+    """What tells the keys of pieces apart, by exclusive or; 0 for a key in one piece."""
+    piece = np.asarray(piece)
+    return np.where(piece > 0, mix(piece.astype(np.uint64)).view(np.int64), 0)
+
+
+def _shared(part: int):
+    """The rows of keys that several nodes have (key, node, n, piece).
+
+    A key of many nodes is cut into pieces, 1, 2, ..., which are keys of their own from here on; all hold one node of the first, so
+    that what links with it falls into one component whatever the piece. Other keys are piece 0.
+    """
+
+    def rows(key, node, n, piece):
+        piece = np.full(len(key), piece, np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(key ^ _code(piece)), pa.array(node), pa.array(n), pa.array(piece)], ["key", "node", "n", "piece"])
+
+    def run(batches):
+        now, first, number = None, None, 0
+        for columns, begin, piece in _groups(batches, part):
+            if piece and columns[0][0] != now:
+                now, first, number = columns[0][0], [c[:1] for c in columns], 1
+                yield rows(*columns, number)
+                continue
+            if columns[0][0] == now:
+                number += 1
+                yield rows(*(np.concatenate([f, c[: begin[1]]]) for f, c in zip(first, columns)), number)
+                columns, begin = [c[begin[1] :] for c in columns], begin[1:] - begin[1]
+            several = np.repeat(np.diff(begin) > 1, np.diff(begin))
+            yield rows(*(c[several] for c in columns), 0)
+
+    return run
 
 
 def _fits(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -267,51 +323,59 @@ def _stars(percent: int, fixed: bool):
     """Pairs of each key's hub with its other nodes that are in other components (columns key, node, n, component)."""
 
     def run(batches):
-        found = _groups(batches)
-        if not found:
-            return
-        (key, node, n, component), begin = found
-        sizes = np.diff(begin)
-        if fixed:
-            hub = begin[:-1]  # rows are sorted by node
-        else:
-            order = np.lexsort((mix(key.view(np.uint64) ^ mix(node.view(np.uint64))), key))
-            hub = order[begin[:-1]]
-        hub = np.repeat(hub, sizes)
-        ok = (component != component[hub]) & _fits(n, n[hub], percent)
-        yield _pairs(node[hub][ok], node[ok], n[hub][ok], n[ok])
+        for (key, node, n, component), begin, _ in _groups(batches):
+            if fixed:
+                hub = begin[:-1]  # rows are sorted by node
+            else:
+                order = np.lexsort((mix(key.view(np.uint64) ^ mix(node.view(np.uint64))), key))
+                hub = order[begin[:-1]]
+            hub = np.repeat(hub, np.diff(begin))
+            ok = (component != component[hub]) & _fits(n, n[hub], percent)
+            yield _pairs(node[hub][ok], node[ok], n[hub][ok], n[ok])
 
     return run
 
 
-def _large(most: int, size: int):
-    """Rows (key, i, j, node) of the keys that more than ``most`` nodes of several components have.
+def _blocks(most: int, size: int):
+    """Rows (key, block, node, n, component) of the keys that more than ``most`` nodes of several components have, and of all that are
+    in pieces; a block holds about ``size`` nodes and ``CELL`` tokens of one piece.
 
-    The nodes of a key are cut into blocks of ``size``; the rows of (i, j) are those of two blocks, or of the one block if i = j, so
-    each pair of nodes is together in some bounded group.
+    Large components come first, each by itself, then the other nodes by size, so that many pairs of blocks need no comparison.
     """
 
     def run(batches):
-        found = _groups(batches)
-        if not found:
-            return
-        (key, node, _, component), begin = found
-        for i, j in zip(begin.tolist(), begin[1:].tolist()):
-            if j - i <= most or (component[i:j] == component[i]).all():
-                continue
-            block = np.arange(j - i) // size
-            last = int(block[-1])
-            for a in range(last + 1):
-                for b in range(a, last + 1):
-                    if a == b and last:
-                        continue  # the pairs of one block are also together in its groups with others
-                    own = node[i:j][(block == a) | (block == b)]
-                    n = len(own)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key[i])), pa.array(np.full(n, a)), pa.array(np.full(n, b)), pa.array(own)], ["key", "i", "j", "node"])
+        for step, ((key, node, n, component, piece), begin, _) in enumerate(_groups(batches)):
+            for g in np.flatnonzero((np.diff(begin) > most) | (piece[begin[:-1]] > 0)).tolist():
+                i, j = begin[g], begin[g + 1]
+                if not piece[i] and (component[i:j] == component[i]).all():
+                    continue
+                _, of, many = np.unique(component[i:j], return_inverse=True, return_counts=True)
+                order = i + np.lexsort((n[i:j], np.where(many[of] >= size, of, len(many))))
+                block = np.floor(np.cumsum(np.maximum(1 / size, n[order] / CELL))).astype(np.int64)
+                block = mix(key[order].view(np.uint64) ^ mix((block + (step << 32)).astype(np.uint64))).view(np.int64)
+                whole = key[order] ^ _code(piece[order])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (whole, block, node[order], n[order], component[order])], ["key", "block", "node", "n", "component"])
 
     return run
 
 
+def _large(own: DataFrame, most: int, size: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows (key, i, j, node, component): the nodes of every two blocks of a key between which a link can join components, and of each
+    such block that is in no pair (i = j); and the written tables that this reads."""
+    nodes = common.materialise(own.mapInArrow(_blocks(most, size), "key bigint, block bigint, node bigint, n int, component bigint"), "nodes")
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("n", "component") for f in (F.min, F.max)]
+    blocks = common.materialise(nodes.groupBy("key", "block").agg(*ends), "blocks")
+    a, b = blocks.alias("a"), blocks.alias("b")
+    fit = 100 * F.least("a.max_n", "b.max_n") >= percent * F.greatest("a.min_n", "b.min_n")
+    apart = F.least("a.min_component", "b.min_component") < F.greatest("a.max_component", "b.max_component")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.block") < F.col("b.block")) & fit & apart)
+    pairs = common.materialise(pairs.select("a.key", F.col("a.block").alias("i"), F.col("b.block").alias("j")), "block-pairs")
+    ends = pairs.select("key", "i", "j", F.explode(F.array("i", "j")).alias("block"))
+    alone = blocks.where("min_component < max_component").join(ends, ["key", "block"], "left_anti")
+    ends = ends.unionByName(alone.select("key", F.col("block").alias("i"), F.col("block").alias("j"), "block"))
+    return ends.join(nodes, ["key", "block"]).select("key", "i", "j", "node", "component"), [nodes, blocks, pairs]
+
+
 def _linked(sets: list[bytes], percent: int):
     """The links of a group of sets: first their order by size, then (a, linked) for each block of sets in that order.
 
@@ -425,7 +489,7 @@ def _count_links(nodes: DataFrame, sets: DataFrame, percent: int, parts: int, si
     return counts.groupBy("node").agg(F.sum("others").alias("others")), counts
 
 
-def _verify_large(large: DataFrame, label: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
+def _verify_large(large: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
     """Links between the components of each bounded group of nodes, compared inside the task that holds the group."""
 
     def run(batches):
@@ -440,8 +504,7 @@ def _verify_large(large: DataFrame, label: DataFrame, sets: DataFrame, percent:
         if rows:
             yield _links(_join_group(*zip(*rows), percent))
 
-    rows = large.join(label, "node", "left").select("key", "i", "j", "node", F.coalesce("component", "node").alias("component"))
-    rows = rows.join(sets, "node").select("key", "i", "j", "node", "component", "tokens")
+    rows = large.join(sets, "node").select("key", "i", "j", "node", "component", "tokens")
     rows = rows.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
     with _batches_of(large.sparkSession, 512):
         return common.materialise(rows.mapInArrow(run, "a bigint, b bigint"), "links")
@@ -455,31 +518,28 @@ def _across(percent: int, most: int):
     """All pairs of different components of each key that at most ``most`` nodes have."""
 
     def run(batches):
-        found = _groups(batches)
-        if not found:
-            return
-        (_, node, n, component), begin = found
         out, held = [], 0
 
         def flush():
             return _pairs(*(np.concatenate(c) for c in zip(*out)))
 
-        for i, j in zip(begin.tolist(), begin[1:].tolist()):
-            own = component[i:j]
-            if j - i > most or (own == own[0]).all():
-                continue
-            order = i + np.argsort(n[i:j], kind="stable")
-            for k in range(len(order) - 1):
-                x, rest = order[k], order[k + 1 :]
-                rest = rest[: np.searchsorted(n[rest], 100 * int(n[x]) // percent, "right")]
-                rest = rest[component[rest] != component[x]]
-                if len(rest):
-                    out.append((np.full(len(rest), node[x]), node[rest], np.full(len(rest), n[x]), n[rest]))
-                    held += len(rest)
-                if held > 500_000:
-                    merged = flush()
-                    out, held = [], 0
-                    yield merged
+        for (_, node, n, component), begin, _ in _groups(batches):
+            for i, j in zip(begin.tolist(), begin[1:].tolist()):
+                own = component[i:j]
+                if j - i > most or (own == own[0]).all():
+                    continue
+                order = i + np.argsort(n[i:j], kind="stable")
+                for k in range(len(order) - 1):
+                    x, rest = order[k], order[k + 1 :]
+                    rest = rest[: np.searchsorted(n[rest], 100 * int(n[x]) // percent, "right")]
+                    rest = rest[component[rest] != component[x]]
+                    if len(rest):
+                        out.append((np.full(len(rest), node[x]), node[rest], np.full(len(rest), n[x]), n[rest]))
+                        held += len(rest)
+                    if held > 500_000:
+                        merged = flush()
+                        out, held = [], 0
+                        yield merged
         if out:
             yield flush()
 
@@ -622,7 +682,7 @@ def components(links: DataFrame) -> DataFrame:
     return label
 
 
-def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: int = LARGE, block: int = BLOCK, links: bool = True) -> DataFrame:
+def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: int = LARGE, block: int = BLOCK, links: bool = True, part: int = PART) -> DataFrame:
     """rid (of id and text), doc_id, n_shingles, component_id, component and n_links of every document.
 
     component_id is the smallest doc_id of the component; ids may be null or repeated, so only component, its smallest node, tells
@@ -637,8 +697,8 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
     often = shown.orderBy(F.desc("shown"), "token").limit(FREQUENT).select("token").toArrow().column(0).combine_chunks()
     frequent = spark.sparkContext.broadcast(np.sort(often.to_numpy().view(np.uint64)) if len(often) else np.empty(0, np.uint64))
 
-    keys = _keys(rows, frequent, words, percent).repartition(parts, "key")
-    shared = common.materialise(keys.mapInArrow(_shared, "key bigint, node bigint, n int"), "keys")
+    keys = _keys(rows, frequent, words, percent).repartition(parts, "key").sortWithinPartitions("key")
+    shared = common.materialise(keys.mapInArrow(_shared(part), "key bigint, node bigint, n int, piece int"), "keys")
     common.release(spark)
     sets = _sets(rows, members.where("n > 0"), shared.select("node").distinct(), words)
 
@@ -646,14 +706,15 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
     found, label, tried, steps = [], None, None, []
     for run in (_stars(percent, True), _stars(percent, False), _across(percent, large), None):
         if label is None:
-            own = shared.select("key", "node", "n", F.col("node").alias("component"))
+            own = shared.select("key", "node", "n", F.col("node").alias("component"), "piece")
         else:
-            own = shared.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-        dealt = own.repartition(parts, "key")
+            own = shared.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"), "piece")
         if run is None:
-            apart = common.materialise(dealt.mapInArrow(_large(large, block), "key bigint, i bigint, j bigint, node bigint"), "large")
-            more = _verify_large(apart, label, sets, percent, parts)
+            apart, read = _large(own.repartition(parts, "key").sortWithinPartitions("key"), large, block, percent)
+            more = _verify_large(apart, sets, percent, parts)
+            common.discard(*read)
         else:
+            dealt = own.drop("piece").repartition(parts, "key").sortWithinPartitions("key")
             pairs = dealt.mapInArrow(run, "a bigint, b bigint").distinct()
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -666,7 +727,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, large: i
             found.append(more)
             before, label = label, components(reduce(DataFrame.unionByName, found))
             common.discard(before)
-    common.discard(shared, apart, *steps)
+    common.discard(shared, *steps)
 
     # an empty set links with nothing: each such document is alone
     nodes = members.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("least"), F.count("*").alias("copies"))

@@ -75,6 +75,37 @@ def test_chains_passages_and_groups_against_brute_force(spark):
     assert found(jaccard.groups(df, large=6, block=8)) == want  # the groups of one key are compared inside tasks
 
 
+def test_keys_cut_into_pieces_lose_no_link(spark):
+    rnd = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = near_copies(40, 60, 6, 21) + [passage + " " + " ".join(f"u{rnd.randrange(10**6)}" for _ in range(rnd.choice([3, 8, 15, 60]))) for _ in range(40)]
+    rows = [doc(i, t) for i, t in enumerate(texts)] * 2
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = found(jaccard.groups(frame(spark, rows).repartition(3), large=6, block=5, part=4))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == sorted(brute(rows), key=str)
+
+
+def test_pieces_of_a_key_hold_all_its_nodes_and_share_one():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    key = np.sort(np.concatenate([np.full(500, 7), np.full(3, 9), [11], rng.integers(20, 60, 200)]))
+    node = rng.integers(0, 300, len(key))
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[a : a + 13]), pa.array(node[a : a + 13]), pa.array(np.ones(len(key[a : a + 13]), np.int32))], ["key", "node", "n"]) for a in range(0, len(key), 13)]
+    rows = [r for b in jaccard._shared(20)(batches) for r in b.to_pylist()]
+    whole = {}
+    for r in rows:
+        k = r["key"] ^ int(jaccard._code(np.array([r["piece"]]))[0])
+        whole.setdefault(k, {}).setdefault(r["piece"], set()).add(r["node"])
+    want = {k: set(node[key == k].tolist()) for k in set(key.tolist())}
+    assert {k: set().union(*v.values()) for k, v in whole.items()} == {k: v for k, v in want.items() if len(v) > 1}
+    assert len(whole[7]) > 2 and set.intersection(*whole[7].values()) and max(len(v) for v in whole[7].values()) <= 4 * 20 + 13 + 1
+
+
 @pytest.mark.parametrize("block", [jaccard.BLOCK, 8])
 def test_every_link_is_counted(spark, block):
     texts = near_copies(40, 80, 2, 1) + near_copies(30, 30, 3, 5) + near_copies(3, 80, 1, 7)
