@@ -64,6 +64,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def place_of(df: DataFrame, name: str) -> int:
+    """Where the column is that Spark means by ``name``: the one of that name, or of that name in another case."""
+    return df.columns.index(name) if name in df.columns else [c.lower() for c in df.columns].index(name.lower())
+
+
 def release(spark: SparkSession) -> None:
     """Lets the driver forget finished steps, upon which Spark deletes their shuffle files."""
     gc.collect()
@@ -105,6 +110,7 @@ def text_chunks(column: pa.Array, most: int = CHUNK_BYTES):
     data, offsets = text_bytes(column)
     for i, j in chunks(offsets, most):
         yield i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+    pa.default_memory_pool().release_unused()  # workers live on between tasks; what earlier batches took goes back
 
 
 def codepoints(data: np.ndarray, offsets: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:

@@ -258,13 +258,12 @@ def identify(docs: DataFrame, model: Identifier | None) -> DataFrame:
 def keep_known(docs: DataFrame, model: Identifier | None) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    last = docs.withColumn(common.free_name(docs, "text_"), F.col("text"))
+    at = common.place_of(docs, "text")
 
     def run(batches):
         for batch in batches:
-            own = batch.select(range(batch.num_columns - 1))
-            for i, data, offsets in common.text_chunks(batch.column(batch.num_columns - 1)):
+            for i, data, offsets in common.text_chunks(batch.column(at)):
                 rejected = (shared.value(data, offsets) if shared.value else _none(offsets))[2]
-                yield own.slice(i, len(rejected)).filter(pa.array(~rejected))
+                yield batch.slice(i, len(rejected)).filter(pa.array(~rejected))
 
-    return last.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

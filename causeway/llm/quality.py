@@ -184,10 +184,10 @@ class Judge:
         return self.trees.score(x) >= self.threshold
 
 
-def _counted(batches, columns: int = 1):
-    """Batches and the counts of the texts in their last column, a chunk at a time."""
+def _counted(batches, at: int = 1):
+    """Batches and the counts of the texts in column ``at``, a chunk at a time."""
     for batch in batches:
-        for i, data, offsets in common.text_chunks(batch.column(batch.num_columns - 1)):
+        for i, data, offsets in common.text_chunks(batch.column(at)):
             yield batch.slice(i, len(offsets) - 1), counts(data, offsets)
 
 
@@ -226,13 +226,13 @@ def judge(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> Da
 def keep_good(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> DataFrame:
     """The documents that are kept, with all their columns."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample) if labels is not None else None)
-    last = docs.withColumn(common.free_name(docs, "text_"), F.col("text"))
+    at = common.place_of(docs, "text")
 
     def run(batches):
-        for batch, c in _counted(batches):
+        for batch, c in _counted(batches, at):
             kept = ~base_failed(c)
             if model.value is not None:
                 kept &= model.value(features(c))
-            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(kept))
+            yield batch.filter(pa.array(kept))
 
-    return last.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
