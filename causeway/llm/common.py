@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +81,18 @@ def with_row_key(df: DataFrame, name: str = "rid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+@contextmanager
+def batches_of(spark, rows: int):
+    """Smaller Arrow batches while an action on wide rows runs."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

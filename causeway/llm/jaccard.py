@@ -35,7 +35,6 @@ whatever their names, are ignored. Fingerprints and tokens are 64-bit hashes, an
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -165,18 +164,6 @@ def prefix_keys(tokens: np.ndarray, of: np.ndarray, sizes: np.ndarray, frequent:
     return np.concatenate(keys), np.concatenate(owners)
 
 
-@contextmanager
-def _batches_of(spark, rows: int):
-    """Smaller Arrow batches while an action on wide rows runs."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _members(rows: DataFrame, words: int) -> DataFrame:
     """Per document rid, doc_id, n, node; and rows of token and its number of documents in a batch (rid null)."""
     names = ["rid", "doc_id", "n", "node", "token", "shown"]
@@ -483,7 +470,7 @@ def _count_links(nodes: DataFrame, sets: DataFrame, percent: int, parts: int, si
     dealt = common.materialise(rows, "dealt")
     rows = (F.broadcast(dealt) if dealt.count() <= FEW else dealt).join(sets.select("node", "tokens"), "node")
     rows = rows.select("component", "i", "j", "node", "cell", "copies", "tokens").repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
-    with _batches_of(nodes.sparkSession, 512):
+    with common.batches_of(nodes.sparkSession, 512):
         counts = common.materialise(rows.mapInArrow(run, "node bigint, others bigint"), "counts")
     common.discard(several, dealt)
     return counts.groupBy("node").agg(F.sum("others").alias("others")), counts
@@ -506,7 +493,7 @@ def _verify_large(large: DataFrame, sets: DataFrame, percent: int, parts: int) -
 
     rows = large.join(sets, "node").select("key", "i", "j", "node", "component", "tokens")
     rows = rows.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    with _batches_of(large.sparkSession, 512):
+    with common.batches_of(large.sparkSession, 512):
         return common.materialise(rows.mapInArrow(run, "a bigint, b bigint"), "links")
 
 
@@ -576,7 +563,8 @@ def _sets(rows: DataFrame, members: DataFrame, nodes: DataFrame, words: int) ->
                 columns = [batch.column(0).slice(i, len(own)), pa.array([_pack(t) for t in own], pa.binary()), pa.array([_histogram(t) for t in own], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "tokens", "histogram"])
 
-    sets = common.materialise(texts.mapInArrow(run, "node bigint, tokens binary, histogram binary"), "sets")
+    with common.batches_of(rows.sparkSession, 2000):
+        sets = common.materialise(texts.mapInArrow(run, "node bigint, tokens binary, histogram binary"), "sets")
     common.discard(first)
     return sets
 
@@ -632,7 +620,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     of_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("t")), "b")
     both = of_b.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("s")), "a").select("a", "b", "s", "t")
-    with _batches_of(pairs.sparkSession, 512):
+    with common.batches_of(pairs.sparkSession, 512):
         links = common.materialise(both.mapInArrow(run, "a bigint, b bigint"), "links")
     common.discard(possible, nodes)
     return links
@@ -676,7 +664,7 @@ def components(links: DataFrame) -> DataFrame:
         edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     common.discard(edges)
     if label is None:
-        return links.sparkSession.createDataFrame([], "node bigint, component bigint")
+        return links.sparkSession.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
     label = common.materialise(label, "labels")
     common.discard(*spent)
     return label

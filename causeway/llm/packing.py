@@ -124,9 +124,10 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, resolution: int =
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (a table already written, with rid, piece and length) with sequence_id and offset."""
     spark = pieces.sparkSession
-    histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
+    lengths = common.materialise(pieces.groupBy("length").count(), "lengths")  # at most ``capacity`` rows
+    histogram = {r[0]: r[1] for r in lengths.collect()}
     table = spark.sparkContext.broadcast(plan(histogram, capacity))
-    salts = spark.createDataFrame([(s, -(-n // GROUP)) for s, n in histogram.items()], "length bigint, salts bigint")
+    salts = lengths.select("length", F.ceil(F.col("count") / GROUP).alias("salts"))
     salted = pieces.join(F.broadcast(salts), "length").withColumn("salt", F.expr("pmod(xxhash64(rid, piece), salts)")).drop("salts")
     group = Window.partitionBy("length", "salt")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -152,5 +153,6 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, closing: int = CLOSING) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document."""
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    pieces = common.materialise(cut(docs, path, capacity, closing), "pieces")
+    with common.batches_of(docs.sparkSession, 2000):
+        pieces = common.materialise(cut(docs, path, capacity, closing), "pieces")
     return place(pieces, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
