@@ -18,8 +18,8 @@ def edges(ring: Column) -> Column:
 
 
 def contains(edges_: Column, x: Column, y: Column) -> Column:
-    """By the number of edges to the right of the point."""
-    crossing = F.filter(edges_, lambda e: ((e.y1 > y) != (e.y2 > y)) & (x < (e.x2 - e.x1) * F.try_divide(y - e.y1, e.y2 - e.y1) + e.x1))
+    """By the number of edges to the right of the point. The product comes before the division: rounding decides for points on an edge."""
+    crossing = F.filter(edges_, lambda e: ((e.y1 > y) != (e.y2 > y)) & (x < F.try_divide((e.x2 - e.x1) * (y - e.y1), e.y2 - e.y1) + e.x1))
     return F.size(crossing) % 2 == 1
 
 

@@ -51,6 +51,14 @@ def test_query_equals_sql(spark, sf, duck, name):
         assert all(p == q or isinstance(p, float) and isinstance(q, float) and abs(p - q) < 2e-5 for p, q in zip(x, y)), (x, y)
 
 
+def test_points_on_edges_equal_sql(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute(f"copy (select unnest([5116, 187906])::bigint as c_custkey) to '{tmp_path}/customer.parquet' (format parquet)")
+    con.execute(f"create view customer as select * from '{tmp_path}/customer.parquet'")
+    got, want = catalogue.QUERIES["point_in_zone"](spark, str(tmp_path)).toPandas(), con.execute(catalogue.ORACLES["point_in_zone"]).df()
+    assert rows(got) == rows(want)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
