@@ -27,13 +27,24 @@ from pyspark.sql import DataFrame
 
 from . import common, pretok
 
-#: Pre-tokens in a generation of a worker's cache.
+#: Half the pre-tokens in a worker's cache.
 CACHE = 200_000
 
 
 #: Bytes up to which pre-tokens are merged side by side; longer ones are merged one by one.
 LONG = 64
 _NONE = 1 << 40
+#: Of the table of pairs.
+SLOT_BITS = 18
+
+
+def _slot(pairs: np.ndarray) -> np.ndarray:
+    return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+
+
+def words(ids) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    return np.array(ids, "<u4").tobytes()
 
 
 class Vocabulary:
@@ -52,30 +63,42 @@ class Vocabulary:
         self._byte = np.array([tokens[bytes([i])] for i in range(256)], np.int64)
         self._keys = np.array(sorted(pairs), np.int64)
         self._ids = np.array([pairs[k] for k in self._keys.tolist()], np.int64)
+        # a pair is at the slot of its hash; of several with one slot one is, and a sorted search finds the others
+        slot = _slot(self._keys)
+        self._key_at, self._id_at = np.full(1 << SLOT_BITS, -1), np.full(1 << SLOT_BITS, _NONE)
+        self._key_at[slot], self._id_at[slot] = self._keys, self._ids
+        self._crowded = np.bincount(slot, minlength=1 << SLOT_BITS) > 1
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         wanted = left << 32 | right
-        at = np.minimum(np.searchsorted(self._keys, wanted), len(self._keys) - 1)
-        return np.where(self._keys[at] == wanted, self._ids[at], _NONE)
+        slot = _slot(wanted)
+        met = self._key_at[slot] == wanted
+        out = np.where(met, self._id_at[slot], _NONE)
+        rest = np.flatnonzero(self._crowded[slot] & ~met)
+        if len(rest):
+            wanted = wanted[rest]
+            at = np.minimum(np.searchsorted(self._keys, wanted), len(self._keys) - 1)
+            out[rest] = np.where(self._keys[at] == wanted, self._ids[at], _NONE)
+        return out
 
-    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """The ids of pre-tokens: of each, the adjacent pair of least rank is joined first, the leftmost of equals."""
+    def merge(self, pieces: list[bytes], make=tuple) -> list:
+        """What ``make`` makes of the ids of each pre-token: the adjacent pair of least rank is joined first, the leftmost of equals."""
         out: list = [None] * len(pieces)
         side = []
         for i, piece in enumerate(pieces):
             if (own := self.whole.get(piece)) is not None:
-                out[i] = (own,)
+                out[i] = make((own,))
             elif len(piece) > LONG:
-                out[i] = self._merge_long(piece)
+                out[i] = make(self._merge_long(piece))
             elif piece:
                 side.append(i)
             else:
-                out[i] = ()
+                out[i] = make(())
         if side:
-            self._merge_side_by_side(pieces, side, out)
+            self._merge_side_by_side(pieces, side, out, make)
         return out
 
-    def _merge_side_by_side(self, pieces: list[bytes], side: list[int], out: list) -> None:
+    def _merge_side_by_side(self, pieces: list[bytes], side: list[int], out: list, make) -> None:
         ids = self._byte[np.frombuffer(b"".join([pieces[i] for i in side]), np.uint8)]
         of = np.repeat(np.array(side), [len(pieces[i]) for i in side])
         rank = np.full(len(ids), _NONE)
@@ -88,9 +111,15 @@ class Vocabulary:
             done = least == _NONE
             if done.any():
                 gone = np.repeat(done, size)
-                own, ends = ids[gone].tolist(), np.cumsum(size[done]).tolist()
-                for i, a, b in zip(of[begin[done]].tolist(), [0, *ends], ends):
-                    out[i] = tuple(own[a:b])
+                own, ends, to = ids[gone], np.cumsum(size[done]), of[begin[done]].tolist()
+                if make is words:
+                    own, ends = words(own), (4 * ends).tolist()
+                    for i, a, b in zip(to, [0, *ends], ends):
+                        out[i] = own[a:b]
+                else:
+                    own, ends = own.tolist(), ends.tolist()
+                    for i, a, b in zip(to, [0, *ends], ends):
+                        out[i] = make(own[a:b])
                 ids, of, rank, size, least = ids[~gone], of[~gone], rank[~gone], size[~done], least[~done]
                 if not len(ids):
                     return
@@ -189,7 +218,8 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray, special: re.Pattern | None)
 
 
 class Encoder:
-    """What is made of the ids of each pre-token of a chunk. Pre-tokens met before come from a cache of two generations."""
+    """What is made of the ids of each pre-token of a chunk. Pre-tokens met before come from a cache: ``young`` has those met in
+    two chunks or more, ``old`` those met in one and those that ``young`` had before it was full."""
 
     def __init__(self, vocabulary: Vocabulary, make=tuple, added: dict[str, int] | None = None, special: re.Pattern | None = None):
         self.vocabulary, self.make, self.special = vocabulary, make, special
@@ -199,17 +229,22 @@ class Encoder:
     def pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list, list[int]]:
         """A value per pre-token, and where each text's pre-tokens begin and end."""
         pieces, bounds = pieces_of(data, offsets, self.special)
-        young, old, make = self.young, self.old, self.make
+        young, old = self.young, self.old
+        found = list(map(young.get, pieces))
+        missing = [i for i, value in enumerate(found) if value is None]
         new = []
-        for piece in set(pieces).difference(young):
+        for piece in {pieces[i] for i in missing}:
             if (value := old.get(piece)) is None:
                 new.append(piece)
             else:
                 young[piece] = value
-        young.update(zip(new, map(make, self.vocabulary.merge([piece.encode() for piece in new]))))
-        found = list(map(young.__getitem__, pieces))
-        if len(young) > CACHE:
-            self.young, self.old = dict(self.added), young
+        made = dict(zip(new, self.vocabulary.merge([piece.encode() for piece in new], self.make)))
+        for i in missing:
+            piece = pieces[i]
+            found[i] = made[piece] if piece in made else young[piece]
+        old.update(made)
+        if len(young) + len(old) > 2 * CACHE:
+            self.young, self.old = (dict(self.added), young) if len(young) > CACHE else (young, {})
         return found, bounds.tolist()
 
     def texts(self, data: np.ndarray, offsets: np.ndarray):

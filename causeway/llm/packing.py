@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .bpe import Encoder, added_tokens, json_vocabulary, kept, special_pattern
+from .bpe import Encoder, added_tokens, json_vocabulary, kept, special_pattern, words
 
 CAPACITY, CLOSING = 1024, 2
 #: Bundles into which the pieces of one length are dealt.
@@ -43,9 +43,9 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, closing: int = CLO
     """rid, doc_id, piece, start, length, ids_crc32 of the pieces of every document."""
 
     def make():
-        return Encoder(json_vocabulary(path), lambda ids: np.array(ids, "<u4").tobytes(), added_tokens(path), special_pattern(path))
+        return Encoder(json_vocabulary(path), words, added_tokens(path), special_pattern(path))
 
-    end = np.array([closing], "<u4").tobytes()
+    end = words([closing])
     names = ["rid", "doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches):

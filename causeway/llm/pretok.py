@@ -131,18 +131,18 @@ def starts(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     element[:n] = _GENERATOR[kind + CLASSES * first[:n].view(np.uint8)]
     element = np.ascontiguousarray(element.reshape(rows, width).T)
     for k in range(1, width):  # inclusive scan along each row
-        element[k] = _FLAT[element[k - 1] * _SIZE + element[k]]
+        element[k] = _FLAT.take(element[k - 1] * _SIZE + element[k])
     entry = np.zeros(rows, np.uint8)
     state = S
     for r, total in enumerate(element[-1].tolist()):
         entry[r] = state
         state = _FUNCTION[total, state]
-    after = _FUNCTION[element, entry[None, :]].T.reshape(-1)[:n]
+    after = _FUNCTION.reshape(-1).take(element * np.uint16(STATES) + entry).T.reshape(-1)[:n]
     before = np.empty(n, np.uint8)
     before[0] = S
     before[1:] = after[:-1]
     before[first[:n]] = S
-    return np.flatnonzero(_STARTS[before, kind])
+    return np.flatnonzero(_STARTS.reshape(-1).take(before * np.uint8(CLASSES) + kind))
 
 
 def pretokens(text: str, points: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -63,6 +63,31 @@ def test_cache_generations_change_nothing(monkeypatch):
         assert list(enc.texts(*args)) == list(fresh.texts(*args))
 
 
+def test_pretokens_that_recur_outlast_many_that_do_not(monkeypatch):
+    merged, merge = [], bpe.Vocabulary.merge
+
+    def counted(self, pieces, *more):
+        merged.extend(pieces)
+        return merge(self, pieces, *more)
+
+    monkeypatch.setattr(bpe, "CACHE", 10)
+    monkeypatch.setattr(bpe.Vocabulary, "merge", counted)
+    enc = bpe.Encoder(bpe.tiktoken_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    rare = [" ".join(f"q{chr(97 + i)}{chr(97 + k)}" for k in range(9)) for i in range(6)]
+    for text in ["every time", "every time", *rare, "every time"]:
+        list(enc.texts(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])))
+    assert merged.count(b"every") == 1 and merged.count(b" time") == 1 and merged.count(b"qaa") == 1
+
+
+def test_ranks_of_pairs_and_ids_as_words():
+    vocabulary = bpe.json_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    known = np.array(sorted(vocabulary.pairs), np.int64)
+    for pairs in (known, np.random.default_rng(4).integers(0, 50_000, (2, 200_000)).T @ np.array([1 << 32, 1])):
+        assert vocabulary._rank(pairs >> 32, pairs & 0xFFFFFFFF).tolist() == [vocabulary.pairs.get(k, bpe._NONE) for k in pairs.tolist()]
+    pieces = ["one", " Überraschung", "", "x" * 200, "\n\n", " the"]
+    assert vocabulary.merge([p.encode() for p in pieces], bpe.words) == [np.array(ids, "<u4").tobytes() for ids in vocabulary.merge([p.encode() for p in pieces])]
+
+
 def test_counts_equal_the_library(spark):
     rows = hard_documents()
     want = [(r[0], len((r[1] or "").encode()), n := len(library_ids(r[1])), n > 512) for r in rows]
