@@ -2,7 +2,8 @@
 
 Pre-tokens come from :mod:`pretok`; each distinct pre-token is merged once per worker and kept in a bounded cache. New pre-tokens are
 merged together: a round joins the pair of least rank of every unfinished one, all in numpy; a long one is merged alone,
-with a heap. An encoded text keeps, beside its ids, the byte offset at which each id starts, so that spans of ids map back to the
+with a heap. :class:`Encoder` keeps a value per pre-token in dictionaries; :class:`Lookup` finds ids by the bytes of
+pre-tokens, a whole chunk at a time. An encoded text keeps, beside its ids, the byte offset at which each id starts, so that spans of ids map back to the
 text; decoding writes the bytes of each id at its offset.
 
 Defined results: a null text counts as empty; an empty text has no ids, the digest of the empty string, and decodes to
@@ -33,15 +34,24 @@ CACHE = 200_000
 
 #: Bytes up to which pre-tokens are merged side by side; longer ones are merged one by one.
 LONG = 64
+#: Pre-tokens that are merged side by side at once, and bits of a place in one.
+BLOCK, PLACE_BITS = 4096, 6
 _NONE = 1 << 40
 #: Of the table of pairs.
 SLOT_BITS = 18
+#: Bytes of a pre-token that has a slot in a lookup: two numbers hold them and their count. Bits of a slot.
+SHORT, LOOKUP_BITS = 15, 19
 
 
 def _slot(pairs: np.ndarray) -> np.ndarray:
     return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
 
 
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each, ``size`` of them."""
+    return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+
 def words(ids) -> bytes:
     """Ids as little-endian unsigned 32-bit numbers."""
     return np.array(ids, "<u4").tobytes()
@@ -82,59 +92,70 @@ class Vocabulary:
         return out
 
     def merge(self, pieces: list[bytes], make=tuple) -> list:
-        """What ``make`` makes of the ids of each pre-token: the adjacent pair of least rank is joined first, the leftmost of equals."""
-        out: list = [None] * len(pieces)
-        side = []
-        for i, piece in enumerate(pieces):
-            if (own := self.whole.get(piece)) is not None:
-                out[i] = make((own,))
-            elif len(piece) > LONG:
-                out[i] = make(self._merge_long(piece))
-            elif piece:
-                side.append(i)
-            else:
-                out[i] = make(())
-        if side:
-            self._merge_side_by_side(pieces, side, out, make)
-        return out
-
-    def _merge_side_by_side(self, pieces: list[bytes], side: list[int], out: list, make) -> None:
-        ids = self._byte[np.frombuffer(b"".join([pieces[i] for i in side]), np.uint8)]
-        of = np.repeat(np.array(side), [len(pieces[i]) for i in side])
-        rank = np.full(len(ids), _NONE)
-        inner = np.flatnonzero(of[:-1] == of[1:])
-        rank[inner] = self._rank(ids[inner], ids[inner + 1])
-        while len(ids):
-            begin = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-            size = np.diff(np.append(begin, len(ids)))
-            least = np.minimum.reduceat(rank, begin)
-            done = least == _NONE
-            if done.any():
-                gone = np.repeat(done, size)
-                own, ends, to = ids[gone], np.cumsum(size[done]), of[begin[done]].tolist()
-                if make is words:
-                    own, ends = words(own), (4 * ends).tolist()
-                    for i, a, b in zip(to, [0, *ends], ends):
-                        out[i] = own[a:b]
-                else:
-                    own, ends = own.tolist(), ends.tolist()
-                    for i, a, b in zip(to, [0, *ends], ends):
-                        out[i] = make(own[a:b])
-                ids, of, rank, size, least = ids[~gone], of[~gone], rank[~gone], size[~done], least[~done]
-                if not len(ids):
-                    return
-            at = np.flatnonzero(rank == np.repeat(least, size))
-            at = at[np.concatenate([[True], of[at[1:]] != of[at[:-1]]])]  # the leftmost of each
-            ids[at] = rank[at]
-            keep = np.ones(len(ids), bool)
-            keep[at + 1] = False
-            at -= np.arange(len(at))
-            ids, of, rank = ids[keep], of[keep], rank[keep]
-            rank[at] = _NONE
-            stale = np.concatenate([at, at[at > 0] - 1])
-            stale = stale[stale + 1 < len(ids)]
-            stale = stale[of[stale] == of[stale + 1]]
-            rank[stale] = self._rank(ids[stale], ids[stale + 1])
+        """What ``make`` makes of the ids of each pre-token."""
+        ids, size = self.merged(pieces)
+        ends = np.cumsum(size)
+        if make is words:
+            own, ends = words(ids), (4 * ends).tolist()
+            return [own[a:b] for a, b in zip([0, *ends], ends)]
+        own, ends = ids.tolist(), ends.tolist()
+        return [make(own[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pre-tokens in order, and how many each has: the adjacent pair of least rank is joined first, the leftmost of equals."""
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        alone = {i: (self.whole[piece],) for i, piece in enumerate(pieces) if piece in self.whole} if self.whole else {}
+        alone |= {i: self._merge_long(pieces[i]) for i in np.flatnonzero(length > LONG).tolist() if i not in alone}
+        length[list(alone)] = 0
+        parts = [([i], own, [len(own)]) for i, own in alone.items()]
+        for side in (np.flatnonzero((length > 0) & (length <= SHORT)), np.flatnonzero(length > SHORT)):
+            for k in range(0, len(side), BLOCK):
+                some = side[k : k + BLOCK]
+                parts.append((some, *self._merge_side_by_side([pieces[i] for i in some.tolist()])))
+        size = np.zeros(len(pieces), np.int64)
+        for which, _, n in parts:
+            size[which] = n
+        begin = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), np.int64)
+        for which, ids, n in parts:
+            out[ranges(begin[which], np.asarray(n))] = ids
+        return out, size
+
+    def _merge_side_by_side(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """A column per pre-token; a joined pair stays at the place of its left id, and ``after`` and ``before`` skip the other's.
+        The last row stands for no neighbour; its id is that of no token."""
+        n, size = len(pieces), np.array([len(piece) for piece in pieces])
+        rows = int(size.max())
+        own = ranges(np.zeros(n, np.int64), size) * n + np.repeat(np.arange(n), size)
+        ids = np.full((rows + 1) * n, len(self.bytes_of))
+        ids[own] = self._byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        there = np.zeros(rows * n, bool)
+        there[own] = True
+        place = np.repeat(np.arange(rows + 1), n)
+        after, before = place + 1, np.where(place, place - 1, rows)
+        last = (size - 1) * n + np.arange(n)
+        after[last] = rows
+        order = np.full((rows + 1) * n, _NONE << PLACE_BITS)  # rank of the pair that begins at a place, then the place
+        order[own] = self._rank(ids[own], ids[after[own] * n + own % n]) << PLACE_BITS | place[own]
+        table = order.reshape(rows + 1, n)
+        while True:
+            least = table.min(0)
+            column = np.flatnonzero(least < _NONE << PLACE_BITS)
+            if not len(column):
+                return ids[:-n].reshape(rows, n).T[there.reshape(rows, n).T], there.reshape(rows, n).sum(0)
+            least = least[column]
+            new, left = least >> PLACE_BITS, least & (1 << PLACE_BITS) - 1
+            at = left * n + column
+            gone = after[at] * n + column
+            right = after[gone]
+            following, previous = right * n + column, before[at]
+            preceding = previous * n + column
+            ids[at], there[gone], order[gone] = new, False, _NONE << PLACE_BITS
+            after[at], before[following] = right, left
+            m = len(column)
+            rank = self._rank(np.concatenate([new, ids[preceding]]), np.concatenate([ids[following], new]))
+            order[at] = rank[:m] << PLACE_BITS | left
+            order[preceding] = rank[m:] << PLACE_BITS | previous
 
     def _merge_long(self, piece: bytes) -> tuple[int, ...]:
         ids, pairs = self._byte[np.frombuffer(piece, np.uint8)].tolist(), self.pairs
@@ -200,20 +221,24 @@ def special_pattern(path: str) -> re.Pattern | None:
     return re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
 
 
-def pieces_of(data: np.ndarray, offsets: np.ndarray, special: re.Pattern | None) -> tuple[list[str], np.ndarray]:
-    """The pre-tokens of a chunk, added tokens among them as one piece each, and where each text's begin and end."""
+def begins_of(data: np.ndarray, offsets: np.ndarray, special: re.Pattern | None) -> tuple[str, np.ndarray, np.ndarray, int]:
+    """A chunk as one str, where its pre-tokens begin, added tokens among them as one piece each, where its texts do, and its length."""
     text, points, at = common.codepoints(data, offsets)
     if special is None or not special.search(text):
-        pieces, _, bounds = pretok.pretokens(text, points, at)
-        return pieces, bounds
+        return text, pretok.starts(points, at), at, len(points)
     spans = [(a + m.start(), a + m.end()) for a, b in zip(at.tolist(), at[1:].tolist()) for m in special.finditer(text[a:b])]
     cuts = np.union1d(at, np.array(spans, np.int64).reshape(-1))
     begin = pretok.starts(points, cuts)
     inside = np.zeros(len(points) + 1, np.int8)
     for a, b in spans:
         inside[a + 1 : b] = 1
-    begin = begin[inside[begin] == 0]
-    edges = np.append(begin, len(points)).tolist()
+    return text, begin[inside[begin] == 0], at, len(points)
+
+
+def pieces_of(data: np.ndarray, offsets: np.ndarray, special: re.Pattern | None) -> tuple[list[str], np.ndarray]:
+    """The pre-tokens of a chunk, added tokens among them as one piece each, and where each text's begin and end."""
+    text, begin, at, n = begins_of(data, offsets, special)
+    edges = np.append(begin, n).tolist()
     return [text[a:b] for a, b in zip(edges, edges[1:])], np.searchsorted(begin, at)
 
 
@@ -254,6 +279,101 @@ class Encoder:
             yield found[a:b]
 
 
+_size = np.arange(SHORT + 2)
+_LOW = np.array([(1 << 8 * min(k, 8)) - 1 for k in _size.tolist()], np.uint64)
+_HIGH = np.array([(1 << 8 * max(k - 8, 0)) - 1 for k in _size.tolist()], np.uint64)
+_COUNT = _size.astype(np.uint64) << np.uint64(56)
+_LOW[-1] = _HIGH[-1] = 0  # longer ones have no slot
+
+
+class Lookup:
+    """The ids of all texts of a chunk. A pre-token of up to ``SHORT`` bytes is two numbers, its bytes and their count, and is found at the slot of
+    their hash if both are equal there. Others are merged and get the slot; one that was found since the slot was last wanted
+    keeps it that once. The ids of all slots lie in one array. Longer pre-tokens are kept in a dictionary."""
+
+    def __init__(self, vocabulary: Vocabulary, added: dict[str, int] | None = None, special: re.Pattern | None = None, bits: int = LOOKUP_BITS):
+        self.vocabulary, self.special = vocabulary, special
+        self.added = {text.encode(): i for text, i in (added or {}).items()}
+        self._shift = np.uint64(64 - bits)
+        self._low, self._high = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64)
+        self._begin, self._n = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
+        self._met = np.zeros(1 << bits, bool)
+        self._ids, self._used = np.empty(1 << bits, np.uint32), 0
+        self._long: dict[bytes, list[int]] = {}
+
+    def _room(self, n: int) -> bool:
+        """Makes place for ``n`` ids, if need be by leaving out those that no slot has any more; whether ids were moved."""
+        if self._used + n <= len(self._ids):
+            return False
+        size = self._n.astype(np.int64)
+        kept = self._ids[ranges(self._begin.astype(np.int64), size)]
+        self._begin[:] = np.cumsum(size) - size
+        self._used = len(kept)
+        self._ids = np.empty(max(len(self._low), 2 * (len(kept) + n)), np.uint32)
+        self._ids[: len(kept)] = kept
+        return True
+
+    def _merged(self, number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers of numbered pre-tokens, which may be added tokens or long ones met before."""
+        pieces = list(number)
+        known = {number[piece]: [i] for piece, i in self.added.items() if piece in number}
+        known |= {number[piece]: own for piece in pieces if len(piece) > SHORT and (own := self._long.get(piece)) is not None}
+        rest = [i for i in range(len(pieces)) if i not in known]
+        ids, size = self.vocabulary.merged([pieces[i] for i in rest])
+        begin = np.cumsum(size) - size
+        every = np.empty(len(pieces), np.int64)
+        every[rest], every[list(known)] = size, [len(own) for own in known.values()]
+        at, out = np.cumsum(every) - every, np.empty(int(every.sum()), np.int64)
+        out[ranges(at[rest], size)] = ids
+        for i, own in known.items():
+            out[at[i] : at[i] + len(own)] = own
+        if len(self._long) > CACHE:
+            self._long.clear()
+        for i, a, n in zip(rest, begin.tolist(), size.tolist()):
+            if SHORT < len(pieces[i]) <= LONG:
+                self._long[pieces[i]] = ids[a : a + n].tolist()
+        return out, every
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a chunk, and where each text's begin and end."""
+        _, begin, _, _ = begins_of(data, offsets, self.special)
+        begin = np.flatnonzero((data & 0xC0) != 0x80)[begin]
+        size = np.diff(np.append(begin, len(data)))
+        padded = np.concatenate([data, np.zeros(16, np.uint8)])
+        eight = np.ndarray(len(data) + 9, "<u8", padded, 0, 1)  # the number of the eight bytes from each place on
+        width = np.minimum(size, SHORT + 1)
+        low, high = eight[begin] & _LOW[width], eight[begin + 8 * (width > 8)] & _HIGH[width] | _COUNT[width]
+        slot = ((low ^ high * np.uint64(0xD1342543DE82EF95)) * np.uint64(0x9E3779B97F4A7C15) >> self._shift).view(np.int64)
+        found = (self._low[slot] == low) & (self._high[slot] == high)
+        self._met[slot[found]] = True
+        at, n = self._begin[slot].astype(np.int64), self._n[slot].astype(np.int64)
+        new = np.flatnonzero(~found)
+        if len(new):
+            raw = data.tobytes()
+            pieces = [raw[a:b] for a, b in zip(begin[new].tolist(), (begin[new] + size[new]).tolist())]
+            number = {piece: i for i, piece in enumerate(dict.fromkeys(pieces))}
+            of = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+            ids, count = self._merged(number)
+            first = np.empty(len(number), np.int64)
+            first[of[::-1]] = new[::-1]
+            if self._room(len(ids)):
+                at = self._begin[slot].astype(np.int64)
+            own = self._used + np.cumsum(count) - count
+            self._ids[self._used : self._used + len(ids)] = ids
+            self._used += len(ids)
+            at[new], n[new] = own[of], count[of]
+            short = np.flatnonzero(width[first] <= SHORT)
+            to = slot[first[short]]
+            free = ~self._met[to]
+            self._met[to] = False
+            to, one = np.unique(to[free], return_index=True)
+            short = short[free][one]
+            self._low[to], self._high[to] = low[first[short]], high[first[short]]
+            self._begin[to], self._n[to] = own[short], count[short]
+        bounds = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(begin, offsets)]
+        return self._ids[ranges(at, n)], bounds
+
+
 _kept: dict = {}
 
 

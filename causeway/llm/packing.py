@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .bpe import Encoder, added_tokens, json_vocabulary, kept, special_pattern, words
+from .bpe import Lookup, added_tokens, json_vocabulary, kept, special_pattern
 
 CAPACITY, CLOSING = 1024, 2
 #: Bundles into which the pieces of one length are dealt.
@@ -43,27 +43,28 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, closing: int = CLO
     """rid, doc_id, piece, start, length, ids_crc32 of the pieces of every document."""
 
     def make():
-        return Encoder(json_vocabulary(path), words, added_tokens(path), special_pattern(path))
+        return Lookup(json_vocabulary(path), added_tokens(path), special_pattern(path))
 
-    end = words([closing])
     names = ["rid", "doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches):
-        enc = kept(("words of ids", path), make)
+        enc = kept(("lookup", path), make)
         for batch in batches:
             doc_ids, rids = batch.column(0), batch.column(1)
             for i, data, offsets in common.text_chunks(batch.column(2)):
                 rows, starts, lengths, crcs, pieces = [], [], [], [], []
-                for k, found in enumerate(enc.texts(data, offsets), i):
-                    ids = b"".join(found) + end
-                    n = len(ids) // 4
+                ids, bounds = enc.ids(data, offsets)
+                ids = np.insert(ids, bounds[1:], closing).astype("<u4", copy=False).tobytes()
+                bounds = (4 * (bounds + np.arange(len(bounds)))).tolist()
+                for k, (begin, end) in enumerate(zip(bounds, bounds[1:]), i):
+                    n = (end - begin) // 4
                     edges = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                     for p, (a, b) in enumerate(zip(edges, edges[1:])):
                         rows.append(k)
                         pieces.append(p)
                         starts.append(a)
                         lengths.append(b - a)
-                        crcs.append(zlib.crc32(ids[4 * a : 4 * b]))
+                        crcs.append(zlib.crc32(ids[begin + 4 * a : begin + 4 * b]))
                 at = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([rids.take(at), doc_ids.take(at), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64())], names)
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -88,6 +89,58 @@ def test_ranks_of_pairs_and_ids_as_words():
     assert vocabulary.merge([p.encode() for p in pieces], bpe.words) == [np.array(ids, "<u4").tobytes() for ids in vocabulary.merge([p.encode() for p in pieces])]
 
 
+def looked_up(lookup, texts):
+    data, offsets = common.text_bytes(pa.array(texts, pa.string()))
+    ids, bounds = lookup.ids(data, offsets)
+    return [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+
+
+@pytest.mark.parametrize("bits", [1, 6, 19])
+def test_lookup_equals_the_library(bits, monkeypatch):
+    """Slots that are fought for, ids that are moved, pre-tokens at and over the bytes of a slot, zero bytes, added tokens."""
+    monkeypatch.setattr(bpe, "CACHE", 20)
+    lookup = bpe.Lookup(bpe.json_vocabulary(JSON), bpe.added_tokens(JSON), bpe.special_pattern(JSON), bits)
+    rnd, library = random.Random(8), Tokenizer.from_file(JSON)
+    letters = ["".join(rnd.choice("aetinshorld\x00qü日") for _ in range(rnd.randint(1, 24))) for _ in range(400)]
+    sizes = ["".join("etaoin"[k % 6] for k in range(n)) for n in (1, 7, 8, 9, 14, 15, 16, 17, 63, 64, 65, 300)]
+    odd = ["", None, "\x00", "\x00\x00", "a\x00", "a", "!!\x00", "<|endoftext|>", "x<|endoftext|> y<|endoftext|><|endoftext", " ", "it's  the\n\nend "]
+    for _ in range(3):
+        some = [" ".join(rnd.choices(letters + sizes, k=rnd.randint(0, 60))) for _ in range(30)] + odd + sizes
+        assert looked_up(lookup, some) == [library.encode(t or "", add_special_tokens=False).ids for t in some]
+    assert looked_up(lookup, []) == [] and looked_up(lookup, ["", None]) == [[], []]
+
+
+def test_lookup_merges_recurring_pretokens_once(monkeypatch):
+    merged, merge = [], bpe.Vocabulary.merged
+
+    def counted(self, pieces):
+        merged.extend(pieces)
+        return merge(self, pieces)
+
+    monkeypatch.setattr(bpe.Vocabulary, "merged", counted)
+    lookup = bpe.Lookup(bpe.json_vocabulary(JSON), bits=12)
+    every, other = " every time of the day", "interdisciplinarity"
+    for i in range(40):
+        looked_up(lookup, [every, *(f" q{chr(97 + i % 26)}{chr(97 + k)}{i // 26}" for k in range(26)), other, every])
+    assert all(merged.count(piece.encode()) == 1 for piece in (" every", " time", " of", " the", " day", other))
+
+
+def test_lookup_costs_less_than_a_value_per_pretoken():
+    """op3_best_fit_packing went over its CPU seconds with a Python object for every pre-token."""
+    rnd = random.Random(9)
+    text = " ".join(rnd.choices(["".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(3000)], k=150_000))
+    args = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])
+    vocabulary, taken = bpe.json_vocabulary(JSON), {}
+    for make, run in ((bpe.Lookup, "ids"), (bpe.Encoder, "pieces")):
+        run = getattr(make(vocabulary), run)
+        run(*args)
+        for _ in range(5):
+            at = time.process_time()
+            run(*args)
+            taken[make] = min(taken.get(make, 99), time.process_time() - at)
+    assert taken[bpe.Lookup] < 0.8 * taken[bpe.Encoder]
+
+
 def test_counts_equal_the_library(spark):
     rows = hard_documents()
     want = [(r[0], len((r[1] or "").encode()), n := len(library_ids(r[1])), n > 512) for r in rows]
