@@ -41,6 +41,8 @@ _NONE = 1 << 40
 SLOT_BITS = 18
 #: Bytes of a pre-token that has a slot in a lookup: two numbers hold them and their count. Bits of a slot.
 SHORT, LOOKUP_BITS = 15, 19
+#: Pre-tokens that are looked up at once.
+PART = 1 << 18
 
 
 def _slot(pairs: np.ndarray) -> np.ndarray:
@@ -303,13 +305,13 @@ class Lookup:
 
     def _room(self, n: int) -> bool:
         """Makes place for ``n`` ids, if need be by leaving out those that no slot has any more; whether ids were moved."""
-        if self._used + n <= len(self._ids):
+        if self._used + n <= len(self._ids) <= 32 * len(self._low):  # more than that is left from a very long pre-token
             return False
         size = self._n.astype(np.int64)
         kept = self._ids[ranges(self._begin.astype(np.int64), size)]
         self._begin[:] = np.cumsum(size) - size
         self._used = len(kept)
-        self._ids = np.empty(max(len(self._low), 2 * (len(kept) + n)), np.uint32)
+        self._ids = np.empty(len(kept) + n + len(self._low), np.uint32)
         self._ids[: len(kept)] = kept
         return True
 
@@ -336,20 +338,26 @@ class Lookup:
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a chunk, and where each text's begin and end."""
-        _, begin, _, _ = begins_of(data, offsets, self.special)
+        begin = begins_of(data, offsets, self.special)[1]
         begin = np.flatnonzero((data & 0xC0) != 0x80)[begin]
         size = np.diff(np.append(begin, len(data)))
-        padded = np.concatenate([data, np.zeros(16, np.uint8)])
-        eight = np.ndarray(len(data) + 9, "<u8", padded, 0, 1)  # the number of the eight bytes from each place on
+        raw = data.tobytes() + bytes(16)
+        parts = [self._part(raw, begin[k : k + PART], size[k : k + PART]) for k in range(0, len(begin), PART)]
+        n = [np.zeros(1, np.int32), *(n for _, n in parts)]
+        bounds = np.cumsum(np.concatenate(n), dtype=np.int64)[np.searchsorted(begin, offsets)]
+        return np.concatenate([np.empty(0, np.uint32), *(ids for ids, _ in parts)]), bounds
+
+    def _part(self, raw: bytes, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some pre-tokens, and how many each has. ``raw`` has 16 bytes more."""
+        eight = np.ndarray(len(raw) - 7, "<u8", raw, 0, 1)  # the number of the eight bytes from each place on
         width = np.minimum(size, SHORT + 1)
         low, high = eight[begin] & _LOW[width], eight[begin + 8 * (width > 8)] & _HIGH[width] | _COUNT[width]
         slot = ((low ^ high * np.uint64(0xD1342543DE82EF95)) * np.uint64(0x9E3779B97F4A7C15) >> self._shift).view(np.int64)
         found = (self._low[slot] == low) & (self._high[slot] == high)
         self._met[slot[found]] = True
-        at, n = self._begin[slot].astype(np.int64), self._n[slot].astype(np.int64)
+        at, n = self._begin[slot].astype(np.int64), self._n[slot]
         new = np.flatnonzero(~found)
         if len(new):
-            raw = data.tobytes()
             pieces = [raw[a:b] for a, b in zip(begin[new].tolist(), (begin[new] + size[new]).tolist())]
             number = {piece: i for i, piece in enumerate(dict.fromkeys(pieces))}
             of = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
@@ -370,8 +378,7 @@ class Lookup:
             short = short[free][one]
             self._low[to], self._high[to] = low[first[short]], high[first[short]]
             self._begin[to], self._n[to] = own[short], count[short]
-        bounds = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(begin, offsets)]
-        return self._ids[ranges(at, n)], bounds
+        return self._ids[ranges(at, n)], n
 
 
 _kept: dict = {}

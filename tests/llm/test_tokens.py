@@ -99,6 +99,7 @@ def looked_up(lookup, texts):
 def test_lookup_equals_the_library(bits, monkeypatch):
     """Slots that are fought for, ids that are moved, pre-tokens at and over the bytes of a slot, zero bytes, added tokens."""
     monkeypatch.setattr(bpe, "CACHE", 20)
+    monkeypatch.setattr(bpe, "PART", 500)
     lookup = bpe.Lookup(bpe.json_vocabulary(JSON), bpe.added_tokens(JSON), bpe.special_pattern(JSON), bits)
     rnd, library = random.Random(8), Tokenizer.from_file(JSON)
     letters = ["".join(rnd.choice("aetinshorld\x00qü日") for _ in range(rnd.randint(1, 24))) for _ in range(400)]
@@ -108,6 +109,9 @@ def test_lookup_equals_the_library(bits, monkeypatch):
         some = [" ".join(rnd.choices(letters + sizes, k=rnd.randint(0, 60))) for _ in range(30)] + odd + sizes
         assert looked_up(lookup, some) == [library.encode(t or "", add_special_tokens=False).ids for t in some]
     assert looked_up(lookup, []) == [] and looked_up(lookup, ["", None]) == [[], []]
+    assert looked_up(lookup, ["ab" * 3000, "e"]) == [library.encode(t, add_special_tokens=False).ids for t in ("ab" * 3000, "e")]
+    looked_up(lookup, ["something"])
+    assert len(lookup._ids) <= max(64, 32 << bits)
 
 
 def test_lookup_merges_recurring_pretokens_once(monkeypatch):
